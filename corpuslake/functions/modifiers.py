@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
 
@@ -57,15 +56,8 @@ def first_char(c: Column) -> Column:
 
 
 def penn_class(c: Column) -> Column:
-    tags_of = defaultdict(list)
-    for tag, cls in PENN_CLASS.items():
-        if cls != "X":
-            tags_of[cls].append(tag)
-    (cls, tags), *rest = tags_of.items()
-    out = F.when(c.isin(tags), cls)
-    for cls, tags in rest:
-        out = out.when(c.isin(tags), cls)
-    return out.otherwise("X")
+    table = F.create_map(*[F.lit(v) for pair in PENN_CLASS.items() for v in pair])
+    return F.coalesce(F.try_element_at(table, c), F.lit("X"))
 
 
 def identity(c: Column) -> Column:

@@ -39,10 +39,11 @@ def from_arrays(
     many = F.greatest(F.size(arr) - (size - 1), F.lit(0))
     shifted = [F.slice(arr, j + 1, many).alias(f"w{j}") for j in range(size)]
     rows = texts.select(*keep, *([base] if base else []), F.posexplode(F.arrays_zip(*shifted)).alias("at", "ngram"))
-    words = [F.col("ngram")[f"w{j}"] for j in range(size)]
-    for w in words[1:]:
-        rows = rows.where(~w.startswith(BREAK))
-    texts_of = {c: F.concat_ws(" ", *[fn(bare(w)) for w in words]) for c, fn in columns.items()}
+    for j in range(1, size):
+        rows = rows.where(~F.col(f"ngram.w{j}").startswith(BREAK))
+    # Made once here, for any number of uses by the columns.
+    rows = rows.withColumns({"w0": bare(F.col("ngram.w0"))} | {f"w{j}": F.col(f"ngram.w{j}") for j in range(1, size)})
+    texts_of = {c: F.concat_ws(" ", *[fn(F.col(f"w{j}")) for j in range(size)]) for c, fn in columns.items()}
     idx = [(F.col(base) + F.col("at") + (size - 1)).alias("idx")] if base else []
     return rows.select(*keep, *[e.alias(c) for c, e in texts_of.items()], *idx)
 

@@ -29,7 +29,8 @@ class Order:
 
 
 def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
+    """Pairwise equality. Keys are never NULL, so that a join can use the partitioning of a window."""
+    return reduce(lambda a, b: a & b, [x == y for x, y in zip(left, right)])
 
 
 def scan(

@@ -342,6 +342,13 @@ def _livetokens(spark, sf_dir):
     return lt.token_tables(valid, _ATTRS)
 
 
+def _stored_livetokens(spark, sf_dir):
+    """The two tables as an import leaves them, so that a search reads them instead of the corpus."""
+    keep = Stages(spark).keep
+    valid = keep(_combinations(spark, sf_dir).where(lt.seems_valid(_ATTRS)))
+    return lt.token_tables(valid, _ATTRS)
+
+
 @query
 def ud_feats_parse(spark, sf_dir):
     raw = ng.from_arrays(cp.document_tokens(spark, sf_dir), 1, {"raw": cp.feats}, []).distinct()
@@ -374,24 +381,24 @@ def livetokens_feats(spark, sf_dir):
 
 @query
 def search_tokens(spark, sf_dir):
-    tokens, feats = _livetokens(spark, sf_dir)
+    tokens, feats = _stored_livetokens(spark, sf_dir)
     found = search.search_tokens(tokens, feats, {"tag": "NNS"}, {"Cap": "No", "Len": ["M", "L"]})
     return found.select(*_ATTRS, "cnt", "udfeats")
 
 
 @query
 def search_total(spark, sf_dir):
-    tokens, feats = _livetokens(spark, sf_dir)
+    tokens, feats = _stored_livetokens(spark, sf_dir)
     return search.total(search.search_tokens(tokens, feats, {"tag": ["NNP", "VBG"]}, [("Len", "L")]))
 
 
 @query
 def facet_attr_values(spark, sf_dir):
-    tokens, feats = _livetokens(spark, sf_dir)
+    tokens, feats = _stored_livetokens(spark, sf_dir)
     return search.attr_values(tokens, feats, _ATTRS, {"tag": ["NNS", "VBG"]}, {"Len": ["M", "L"], "Cap": "No"})
 
 
 @query
 def facet_feat_values(spark, sf_dir):
-    tokens, feats = _livetokens(spark, sf_dir)
+    tokens, feats = _stored_livetokens(spark, sf_dir)
     return search.feat_values(tokens, feats, {"tag": ["NNS", "NNP"]}, {"Cap": ["Yes", "No"]})

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake.operators.ordered import Order
-from corpuslake.sources.tables import text_tokens
+from corpuslake.sources.tables import spread, text_tokens
 
 # Documents in one coarse chunk of the ordered scans.
 RANGE_BITS = 16
@@ -24,7 +24,7 @@ TEXT_ORDER = Order(chunks=("range",), by="doc_id")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("corpus_id", F.col("lang"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("corpus_id", F.coalesce("lang", F.lit("")))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,8 @@ COLUMNS: dict[int, Callable[[Column], Column]] = {0: lambda w: w, 1: lemma, 2: t
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select(
+    docs = spread(documents(spark, sf_dir).select("corpus_id", "doc_id", "text"), "doc_id")
+    return docs.select(
         "corpus_id",
         F.shiftright("doc_id", RANGE_BITS).alias("range"),
         "doc_id",
@@ -66,9 +67,8 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conversations(spark, sf_dir).select(
-        F.lit("conversations").alias("corpus_id"), text_tokens(F.col("text")).alias("tokens")
-    )
+    turns = spread(conversations(spark, sf_dir).select("conv_id", "turn", "text"), "conv_id", "turn")
+    return turns.select(F.lit("conversations").alias("corpus_id"), text_tokens(F.col("text")).alias("tokens"))
 
 
 def words_of(line: Column) -> Column:
@@ -112,7 +112,8 @@ def document_lines(
     """Documents as vertical lines; ``paragraph(text, num)`` gives the lines of one, as an array."""
     body = F.flatten(F.transform(F.split("text", "\n"), paragraph))
     lines = F.concat(F.array(doc_tag(), *before), body, F.array(*[F.lit(a) for a in after], F.lit("</doc>")))
-    rows = documents(spark, sf_dir).select("corpus_id", "doc_id", F.posexplode(lines).alias("seq", "line"))
+    docs = spread(documents(spark, sf_dir).select("corpus_id", "doc_id", "text", "lang", "source"), "doc_id")
+    rows = docs.select("corpus_id", "doc_id", F.posexplode(lines).alias("seq", "line"))
     return rows.select(
         "corpus_id",
         F.shiftright("doc_id", RANGE_BITS).alias("range"),
@@ -135,7 +136,7 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     The tags around a conversation come from its first and last turn numbers, so the turns of one
     are never brought together.
     """
-    turns = conversations(spark, sf_dir)
+    turns = spread(conversations(spark, sf_dir), "conv_id", "turn")
 
     def conv(kind: str) -> Column:
         return F.concat(F.lit('<conv id="'), F.col("conv_id").cast("string"), F.lit(f'" kind="{kind}">'))

@@ -21,7 +21,14 @@ def text_tokens(text: Column) -> Column:
 
 
 def bare(token: Column) -> Column:
-    return F.ltrim(token, F.lit(BREAK))
+    return F.when(token.startswith(BREAK), F.substr(token, F.lit(2))).otherwise(token)
+
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows over all cores if the input has fewer splits than that; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
 
 
 # More corpora than this in one job are joined by a shuffle instead of a broadcast.
