@@ -68,7 +68,7 @@ def from_rows(
         *[e.alias(c) for c, e in columns.items()],
         F.explode(F.when(shared, F.array(home, home + 1)).otherwise(F.array(home))).alias("__block"),
     )
-    w = Window.partitionBy("corpus_id", "__block").orderBy("tok_idx")
+    w = Window.partitionBy("__block", "corpus_id").orderBy("tok_idx")
     parts = {
         c: F.concat_ws(" ", *[F.lag(c, j).over(w) for j in range(size - 1, 0, -1)], F.col(c)) for c in columns
     }

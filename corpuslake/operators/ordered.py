@@ -8,8 +8,8 @@ or the chunks of one coarser chunk, however long the whole table is.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,14 +18,31 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Order:
-    """``keys`` separate independent sequences, ``chunks`` go from coarse to fine, ``by`` orders rows."""
+    """``keys`` separate independent sequences, ``chunks`` go from coarse to fine.
+
+    ``within`` orders the rows of a chunk; ``pos`` compares any two rows of a sequence.
+    """
 
     keys: tuple[str, ...] = ("corpus_id",)
     chunks: tuple[str, ...] = ("chunk",)
-    by: str = "pos"
+    within: str = "seq"
+    pos: str = "pos"
 
     def keyed(self, *more: str) -> Order:
-        return Order((*self.keys, *more), self.chunks, self.by)
+        return replace(self, keys=(*self.keys, *more))
+
+    def coarser(self) -> Order:
+        """The order of the table with one row per finest chunk."""
+        return replace(self, chunks=self.chunks[:-1], within=self.chunks[-1])
+
+    @property
+    def group(self) -> list[str]:
+        """A chunk of a sequence. The chunk leads, since sorts tell rows apart by their first column."""
+        return [*reversed(self.chunks), *self.keys]
+
+    @property
+    def place(self) -> list[str]:
+        return [*self.group, self.within]
 
 
 def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -38,43 +55,42 @@ def scan(
     order: Order,
     sums: Mapping[str, Column] | None = None,
     lasts: Mapping[str, Column] | None = None,
-    inclusive: bool = True,
+    before: Collection[str] = (),
 ) -> DataFrame:
     """Add a running sum per entry of ``sums`` and the last non-NULL value per entry of ``lasts``.
 
-    ``inclusive=False`` leaves the current row out of both.
+    Those named in ``before`` leave the current row out.
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
     names = [*sums, *lasts]
     valued = df.withColumns({f"__v_{n}": e for n, e in {**sums, **lasts}.items()})
-    frame_end = Window.currentRow if inclusive else -1
-    local = (
-        Window.partitionBy(*order.keys, *order.chunks)
-        .orderBy(order.by)
-        .rowsBetween(Window.unboundedPreceding, frame_end)
-    )
-    here = {f"__h_{n}": F.sum(f"__v_{n}").over(local) for n in sums}
-    here |= {f"__h_{n}": F.last(f"__v_{n}", ignorenulls=True).over(local) for n in lasts}
+    rows_of = Window.partitionBy(*order.group).orderBy(order.within)
+
+    def frame(name: str):
+        return rows_of.rowsBetween(Window.unboundedPreceding, -1 if name in before else Window.currentRow)
+
+    here = {f"__h_{n}": F.sum(f"__v_{n}").over(frame(n)) for n in sums}
+    here |= {f"__h_{n}": F.last(f"__v_{n}", ignorenulls=True).over(frame(n)) for n in lasts}
     rows = valued.withColumns(here)
     if not order.chunks:
         done = {n: F.coalesce(F.col(f"__h_{n}"), F.lit(0)) for n in sums} | {n: F.col(f"__h_{n}") for n in lasts}
         return rows.withColumns(done).drop(*[f"__{t}_{n}" for n in names for t in "vh"])
 
-    per_chunk = valued.groupBy(*order.keys, *order.chunks).agg(
+    per_chunk = valued.groupBy(*order.group).agg(
         *[F.sum(f"__v_{n}").alias(f"__c_{n}") for n in sums],
         *[
-            F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), F.col(order.by))).alias(f"__c_{n}")
+            F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), F.col(order.within))).alias(f"__c_{n}")
             for n in lasts
         ],
     )
     carried = scan(
         per_chunk,
-        Order(order.keys, order.chunks[:-1], order.chunks[-1]),
+        order.coarser(),
         {f"__p_{n}": F.coalesce(F.col(f"__c_{n}"), F.lit(0)) for n in sums},
         {f"__p_{n}": F.col(f"__c_{n}") for n in lasts},
-        inclusive=False,
+        before=[f"__p_{n}" for n in names],
     )
-    ids = [*order.keys, *order.chunks]
+    ids = order.group
     carried = carried.select(
         *[F.col(c).alias(f"__k_{i}") for i, c in enumerate(ids)], *[F.col(f"__p_{n}") for n in names]
     )

@@ -159,7 +159,7 @@ def _document_units(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
     resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
-    return st.unit_rows(st.mark_emissions(resolved, _DOC_P, None, cp.LINE_ORDER, keep), _DOC_P, None, cp.LINE_ORDER)
+    return st.unit_rows(st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER, keep), _DOC_P, None, cp.LINE_ORDER)
 
 
 @query
@@ -175,10 +175,10 @@ def bibliography(spark, sf_dir):
 def _conversation_units(spark, sf_dir, spec, join=None, corpus=None):
     lines = cp.conversation_lines(spark, sf_dir)
     keep = Stages(spark).keep
-    events = keep(tk.accepted_before_tags(token_lines(lines), struct_events(lines), cp.LINE_ORDER))
-    resolved = st.resolve(events, spec, cp.LINE_ORDER, keep)
-    marked = st.mark_emissions(resolved, spec, join, cp.LINE_ORDER, keep)
-    return st.unit_rows(marked, spec, join, cp.LINE_ORDER)
+    events = keep(tk.accepted_before_tags(token_lines(lines), struct_events(lines), cp.TURN_ORDER))
+    resolved = st.resolve(events, spec, cp.TURN_ORDER, keep)
+    marked = st.mark_units(resolved, spec, join, cp.TURN_ORDER, keep)
+    return st.unit_rows(marked, spec, join, cp.TURN_ORDER)
 
 
 _CONV_TURN = StructureSpec({"conv": ["id", "kind"], "turn": ["num", "role"]}, atom="turn", parent="conv")
@@ -205,7 +205,7 @@ def liveattrs_nested(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
     resolved = st.resolve(events, _DOC_DIV_P, cp.LINE_ORDER, keep)
-    marked = st.mark_emissions(resolved, _DOC_DIV_P, None, cp.LINE_ORDER, keep)
+    marked = st.mark_units(resolved, _DOC_DIV_P, None, cp.LINE_ORDER, keep)
     return st.unit_rows(marked, _DOC_DIV_P, None, cp.LINE_ORDER)
 
 
@@ -249,9 +249,10 @@ def segment_ngrams(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
     resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
-    marked = st.mark_emissions(resolved, _DOC_P, None, cp.LINE_ORDER, keep)
-    indexed = tk.indexed_tokens(token_lines(lines).drop("seq"), marked, cp.LINE_ORDER)
-    return ng.count_ngrams(ng.from_rows(indexed, 2, {"col0": token_column(0)}), ["corpus_id", "col0"])
+    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER, keep)
+    tokens = token_lines(lines).select(*cp.LINE_ORDER.place, token_column(0).alias("col0"))
+    indexed = tk.indexed_tokens(tokens, keep(marked), cp.LINE_ORDER)
+    return ng.count_ngrams(ng.from_rows(indexed, 2, {"col0": F.col("col0")}), ["corpus_id", "col0"])
 
 
 @query
@@ -261,11 +262,14 @@ def subcorpus_filter(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
     resolved = keep(st.resolve(events, _DOC_P, cp.LINE_ORDER, keep))
-    marked = st.mark_emissions(resolved, _DOC_P, None, cp.LINE_ORDER, keep)
-    context = tk.tokens_in_context(lines, resolved, ["doc_source"], cp.LINE_ORDER)
-    accepted = context.where(~F.col("doc_source").isin("src0", "src1") & ~token_column(0).rlike("[0-9]"))
-    indexed = tk.indexed_tokens(accepted, marked, cp.LINE_ORDER)
-    return ng.count_ngrams(ng.from_rows(indexed, 3, {"col0": token_column(1)}), ["corpus_id", "col0"])
+    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER, keep)
+    words = token_lines(lines).select(
+        *cp.LINE_ORDER.place, token_column(0).alias("word"), token_column(1).alias("col0")
+    )
+    context = tk.tokens_in_context(words, resolved, ["doc_source"], cp.LINE_ORDER)
+    accepted = context.where(~F.col("doc_source").isin("src0", "src1") & ~F.col("word").rlike("[0-9]"))
+    indexed = tk.indexed_tokens(accepted.drop("word", "doc_source"), keep(marked), cp.LINE_ORDER)
+    return ng.count_ngrams(ng.from_rows(indexed, 3, {"col0": F.col("col0")}), ["corpus_id", "col0"])
 
 
 # --- item ids, alignment, windows -------------------------------------------------------------

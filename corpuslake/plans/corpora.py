@@ -20,7 +20,8 @@ RANGE_BITS = 16
 TURN_BITS = 8
 
 LINE_ORDER = Order(chunks=("range", "chunk"))
-TEXT_ORDER = Order(chunks=("range",), by="doc_id")
+TEXT_ORDER = Order(chunks=("range",), within="doc_id")
+TURN_ORDER = Order(chunks=("range", "chunk"), within="pos")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,11 +71,11 @@ def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column) -> CorpusSi
 def with_token_offsets(texts: DataFrame, order: Order, tokens: str = "tokens") -> DataFrame:
     """Add ``base``, the tokens of the corpus before this text.
 
-    Only (corpus, chunk, id, length) rows are scanned; ``order.by`` must identify a text in its corpus.
+    Only (corpus, chunk, id, length) rows are scanned; ``order.within`` must identify a text in its chunk.
     """
-    ids = [*order.keys, *order.chunks, order.by]
+    ids = order.place
     lengths = texts.select(*ids, F.size(tokens).cast("long").alias("__n"))
-    based = scan(lengths, order, {"base": F.col("__n")}, inclusive=False)
+    based = scan(lengths, order, {"base": F.col("__n")}, before=["base"])
     based = based.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(ids)], "base")
     joined = texts.join(based, same([F.col(c) for c in ids], [F.col(f"__k{i}") for i in range(len(ids))]))
     return joined.drop(*[f"__k{i}" for i in range(len(ids))])
