@@ -6,6 +6,7 @@ Several files make one line stream in list order; gzip is read through the Hadoo
 from __future__ import annotations
 
 import codecs
+import re
 import warnings
 from collections.abc import Sequence
 
@@ -35,9 +36,9 @@ def resolve_paths(spark: SparkSession, file: str | None = None, files: Sequence[
             warnings.warn(f"invalid vertical path {entry}, skipping", stacklevel=2)
             continue
         if fs.getFileStatus(path).isFile():
-            found.append(fs.makeQualified(path).toUri().toString())
+            found.append(fs.makeQualified(path).toString())
         else:
-            found += sorted(s.getPath().toUri().toString() for s in fs.listStatus(path) if s.isFile())
+            found += sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile())
     if not found:
         raise FileNotFoundError("no valid vertical files to process")
     return found
@@ -67,17 +68,25 @@ def read_lines(
     The order is (file, start of the split, row in the split). It is taken in the scan stage itself,
     so a repeated task gives the same numbers, and no line passes through Python.
     """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+
+    def uri(entry: str) -> str:
+        path = hadoop.Path(entry)
+        return re.sub("^file:/+", "file:/", path.getFileSystem(conf).makeQualified(path).toUri().toString())
+
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("file_idx", T.IntegerType())])
-    listed = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], schema)
+    listed = spark.createDataFrame([(uri(p), i) for i, p in enumerate(paths)], schema)
     row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     scanned = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(paths))).select(
         F.rtrim(_decoded(F.col("value"), encoding), F.lit("\r")).alias("line"),
-        F.col("_metadata.file_path").alias("path"),
+        F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         row.alias("seq"),
     )
     # The list comes from the driver's own listing, so it is as small as that.
-    numbered = scanned.join(F.broadcast(listed), "path")
+    numbered = scanned.join(F.broadcast(listed), "path", "left")
+    unlisted = F.raise_error(F.concat(F.lit("lines of a file not listed: "), "path")).cast("int")
+    numbered = numbered.withColumn("file_idx", F.coalesce("file_idx", unlisted))
     return numbered.select(
         F.lit(corpus_id).alias("corpus_id"),
         F.struct("file_idx", "block", F.shiftright("seq", chunk_bits).alias("part")).alias("chunk"),
