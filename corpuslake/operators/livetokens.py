@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +45,16 @@ def seems_valid(attrs: Sequence[str], strict_numeric: bool = False) -> Column:
 
     ``strict_numeric`` refuses values that are numbers as a whole instead of any value with a digit.
     """
-    values = F.array(*[F.coalesce(F.col(a), F.lit("")) for a in attrs])
+    values = [F.coalesce(F.col(a), F.lit("")) for a in attrs]
     number = f"^{PSEUDO_NUMBER}$" if strict_numeric else PSEUDO_NUMBER
-    wrong = F.exists(values, lambda v: v.rlike(UNPARSED_FEATS) | F.trim(v).rlike(number))
-    return ~wrong & F.exists(values, lambda v: ~v.rlike(r"^\s*$"))
+    wrong = [v.rlike(UNPARSED_FEATS) | F.trim(v).rlike(number) for v in values]
+    blank = reduce(lambda a, b: a & b, [v.rlike(r"^\s*$") for v in values])
+    return ~reduce(lambda a, b: a | b, wrong) & ~blank
+
+
+def valid_only(combinations: DataFrame, attrs: Sequence[str], strict_numeric: bool = False) -> DataFrame:
+    """Combinations that seem valid. Naming ``cnt`` keeps the test after the counting, once for each."""
+    return combinations.where(F.when(F.col("cnt") > 0, seems_valid(attrs, strict_numeric)))
 
 
 def token_tables(combinations: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, DataFrame]:

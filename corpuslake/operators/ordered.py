@@ -24,7 +24,7 @@ class Order:
     """
 
     keys: tuple[str, ...] = ("corpus_id",)
-    chunks: tuple[str, ...] = ("chunk",)
+    chunks: tuple[str, ...] = ("span", "chunk")
     within: str = "seq"
     pos: str = "pos"
 

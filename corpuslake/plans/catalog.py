@@ -50,7 +50,7 @@ def bigram_arf(spark, sf_dir):
     sizes = corpus_sizes(texts, ["corpus_id"], F.size("tokens"))
     placed = sizes.attach(with_token_offsets(texts, cp.TEXT_ORDER), ["doc_id"])
     occurrences = ng.from_arrays(placed, 2, rules, ["corpus_id", "corpus_size"], base="base")
-    return ng.frequency_table(ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total), spec)
+    return ng.frequency_table(ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total("corpus_size")), spec)
 
 
 @query
@@ -268,7 +268,8 @@ def subcorpus_filter(spark, sf_dir):
     )
     context = tk.tokens_in_context(words, resolved, ["doc_source"], cp.LINE_ORDER)
     accepted = context.where(~F.col("doc_source").isin("src0", "src1") & ~F.col("word").rlike("[0-9]"))
-    indexed = tk.indexed_tokens(accepted.drop("word", "doc_source"), keep(marked), cp.LINE_ORDER)
+    accepted = keep(accepted.drop("word", "doc_source"))
+    indexed = tk.indexed_tokens(accepted, keep(marked), cp.LINE_ORDER)
     return ng.count_ngrams(ng.from_rows(indexed, 3, {"col0": F.col("col0")}), ["corpus_id", "col0"])
 
 
@@ -342,14 +343,14 @@ def _combinations(spark, sf_dir):
 
 
 def _livetokens(spark, sf_dir):
-    valid = _combinations(spark, sf_dir).where(lt.seems_valid(_ATTRS))
+    valid = lt.valid_only(_combinations(spark, sf_dir), _ATTRS)
     return lt.token_tables(valid, _ATTRS)
 
 
 def _stored_livetokens(spark, sf_dir):
     """The two tables as an import leaves them, so that a search reads them instead of the corpus."""
     keep = Stages(spark).keep
-    valid = keep(_combinations(spark, sf_dir).where(lt.seems_valid(_ATTRS)))
+    valid = keep(lt.valid_only(_combinations(spark, sf_dir), _ATTRS))
     return lt.token_tables(valid, _ATTRS)
 
 

@@ -40,7 +40,7 @@ def import_livetokens(
     counted = lt.count_combinations(attribute_rows(tokens, attrs), names, "__feats", keep_featless=keep_featless)
     stages = Stages(spark)
     try:
-        valid = stages.keep(counted.where(lt.seems_valid(names, strict_numeric)))
+        valid = stages.keep(lt.valid_only(counted, names, strict_numeric))
         sink.write_livetokens(*lt.token_tables(valid, names), target)
     finally:
         stages.drop()

@@ -37,35 +37,40 @@ _SPREAD = 64
 
 
 @dataclass(frozen=True)
-class CorpusSizes:
-    """Tokens per corpus: ``table`` has the keys and ``corpus_size``; ``total`` is their sum."""
+class PerCorpus:
+    """One row of ``values`` per corpus, made by one job; kept on the driver if there are few corpora."""
 
     table: DataFrame
     keys: tuple[str, ...]
+    values: tuple[str, ...]
     few: bool
-    total: int
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: Sequence[str], **values: Column) -> PerCorpus:
+        made = df.groupBy(*keys).agg(*[e.alias(n) for n, e in values.items()])
+        rows = made.limit(FEW_CORPORA + 1).collect()
+        few = len(rows) <= FEW_CORPORA
+        table = df.sparkSession.createDataFrame(rows, made.schema) if few else made
+        return cls(table, tuple(keys), tuple(values), few)
 
     def attach(self, df: DataFrame, spread_by: Sequence[str]) -> DataFrame:
-        """Add ``corpus_size``. With many corpora, the rows of one are spread by ``spread_by`` first."""
+        """Add the values. With many corpora, the rows of one are spread by ``spread_by`` first."""
         names = [f"__c{i}" for i in range(len(self.keys))]
-        sizes = self.table.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names)], "corpus_size")
+        table = self.table.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names)], *self.values)
         match = same([F.col(k) for k in self.keys], [F.col(n) for n in names])
         if self.few:
-            return df.join(F.broadcast(sizes), match).drop(*names)
-        sizes = sizes.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
+            return df.join(F.broadcast(table), match).drop(*names)
+        table = table.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
         salted = df.withColumn("__t", F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("int"))
-        return salted.join(sizes, match & (F.col("__s") == F.col("__t"))).drop("__s", "__t", *names)
-
-
-def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column) -> CorpusSizes:
-    """Runs one job that sums ``tokens`` per corpus; the result is kept if there are few corpora."""
-    sums = df.groupBy(*keys).agg(F.coalesce(F.sum(tokens), F.lit(0)).cast("long").alias("corpus_size"))
-    rows = sums.limit(FEW_CORPORA + 1).collect()
-    if len(rows) <= FEW_CORPORA:
-        table = df.sparkSession.createDataFrame(rows, sums.schema)
-        return CorpusSizes(table, tuple(keys), True, sum(r["corpus_size"] for r in rows))
-    total = sums.agg(F.sum("corpus_size")).first()[0]
-    return CorpusSizes(sums, tuple(keys), False, total)
+        return salted.join(table, match & (F.col("__s") == F.col("__t"))).drop("__s", "__t", *names)
+
+    def total(self, value: str) -> int:
+        return self.table.agg(F.sum(value)).first()[0] or 0
+
+
+def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column) -> PerCorpus:
+    """``corpus_size``: the sum of ``tokens`` per corpus."""
+    return PerCorpus.of(df, keys, corpus_size=F.coalesce(F.sum(tokens), F.lit(0)).cast("long"))
 
 
 def with_token_offsets(texts: DataFrame, order: Order, tokens: str = "tokens") -> DataFrame:

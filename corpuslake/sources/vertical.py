@@ -12,12 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Rows of one file split get consecutive numbers in the lower bits of monotonically_increasing_id.
 _ROW_BITS = 33
 # A chunk is at most this many lines of one split, so a gzip file (one split) makes many chunks.
 CHUNK_BITS = 20
+# A span is this many bytes (as stored) of all files put together; it holds a bounded number of chunks.
+SPAN_BITS = 34
 
 
 def resolve_paths(spark: SparkSession, file: str | None = None, files: Sequence[str] | None = None) -> list[str]:
@@ -63,19 +64,21 @@ def _decoded(raw: Column, encoding: str) -> Column:
 def read_lines(
     spark: SparkSession, paths: Sequence[str], corpus_id: str, encoding: str = "utf-8", chunk_bits: int = CHUNK_BITS
 ) -> DataFrame:
-    """``corpus_id, chunk, pos, seq, line``: ``pos`` orders all lines, ``seq`` is dense within a chunk.
+    """``corpus_id, span, chunk, pos, seq, line``: ``pos`` orders all lines, ``seq`` is dense in a chunk.
 
     The order is (file, start of the split, row in the split). It is taken in the scan stage itself,
     so a repeated task gives the same numbers, and no line passes through Python.
     """
     hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
 
-    def uri(entry: str) -> str:
+    files, start = [], 0
+    for i, entry in enumerate(paths):
         path = hadoop.Path(entry)
-        return re.sub("^file:/+", "file:/", path.getFileSystem(conf).makeQualified(path).toUri().toString())
-
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("file_idx", T.IntegerType())])
-    listed = spark.createDataFrame([(uri(p), i) for i, p in enumerate(paths)], schema)
+        fs = path.getFileSystem(conf)
+        uri = re.sub("^file:/+", "file:/", fs.makeQualified(path).toUri().toString())
+        files.append((uri, i, start))
+        start += fs.getFileStatus(path).getLen()
+    listed = spark.createDataFrame(files, "path string, file_idx int, start long")
     row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     scanned = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(paths))).select(
         F.rtrim(_decoded(F.col("value"), encoding), F.lit("\r")).alias("line"),
@@ -89,6 +92,7 @@ def read_lines(
     numbered = numbered.withColumn("file_idx", F.coalesce("file_idx", unlisted))
     return numbered.select(
         F.lit(corpus_id).alias("corpus_id"),
+        F.shiftright(F.col("start") + F.col("block"), SPAN_BITS).alias("span"),
         F.struct("file_idx", "block", F.shiftright("seq", chunk_bits).alias("part")).alias("chunk"),
         F.struct("file_idx", "block", "seq").alias("pos"),
         "seq",

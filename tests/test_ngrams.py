@@ -85,7 +85,7 @@ def test_corpus_sizes(spark, monkeypatch, few):
         monkeypatch.setattr(tables, "FEW_CORPORA", 1)
     df = spark.createDataFrame([("a", 2), ("b", 3), ("a", 4)], "corpus_id string, n int")
     sizes = corpus_sizes(df, ["corpus_id"], F.col("n"))
-    assert (sizes.few, sizes.total) == (few, 9)
+    assert (sizes.few, sizes.total("corpus_size")) == (few, 9)
     got = sizes.attach(df, ["n"]).collect()
     assert sorted((r["corpus_id"], r["n"], r["corpus_size"]) for r in got) == [("a", 2, 6), ("a", 4, 6), ("b", 3, 3)]
 
