@@ -125,15 +125,16 @@ def count_with_arf(
         )
         salt, known = ["__salt"], F.col("__hot")
 
-    group = Window.partitionBy(*ids, *salt)
-    here = F.count("*").over(group)
+    # One order for both, so the occurrences are sorted once.
+    group = Window.partitionBy(*ids, *salt).orderBy("idx")
+    here = F.count("*").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     gapped = spread.select(
         *ids,
         *salt,
         "idx",
         "corpus_size",
         (F.coalesce(known, here) if known is not None else here).alias("count"),
-        (F.col("idx") - F.lag("idx").over(group.orderBy("idx"))).alias("__gap"),
+        (F.col("idx") - F.lag("idx").over(group)).alias("__gap"),
     )
     near = F.col("__gap") < F.col("corpus_size") / F.col("count")
     sums = gapped.groupBy(*ids, *salt).agg(
