@@ -159,7 +159,7 @@ def _document_units(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
     resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
-    return st.unit_rows(st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER, keep), _DOC_P, None, cp.LINE_ORDER)
+    return st.unit_rows(st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER), _DOC_P, None, cp.LINE_ORDER)
 
 
 @query
@@ -177,7 +177,7 @@ def _conversation_units(spark, sf_dir, spec, join=None, corpus=None):
     keep = Stages(spark).keep
     events = keep(tk.accepted_before_tags(token_lines(lines), struct_events(lines), cp.TURN_ORDER))
     resolved = st.resolve(events, spec, cp.TURN_ORDER, keep)
-    marked = st.mark_units(resolved, spec, join, cp.TURN_ORDER, keep)
+    marked = st.mark_units(resolved, spec, join, cp.TURN_ORDER)
     return st.unit_rows(marked, spec, join, cp.TURN_ORDER)
 
 
@@ -205,7 +205,7 @@ def liveattrs_nested(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
     resolved = st.resolve(events, _DOC_DIV_P, cp.LINE_ORDER, keep)
-    marked = st.mark_units(resolved, _DOC_DIV_P, None, cp.LINE_ORDER, keep)
+    marked = st.mark_units(resolved, _DOC_DIV_P, None, cp.LINE_ORDER)
     return st.unit_rows(marked, _DOC_DIV_P, None, cp.LINE_ORDER)
 
 
@@ -249,7 +249,7 @@ def segment_ngrams(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
     resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
-    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER, keep)
+    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER)
     tokens = token_lines(lines).select(*cp.LINE_ORDER.place, token_column(0).alias("col0"))
     indexed = tk.indexed_tokens(tokens, keep(marked), cp.LINE_ORDER)
     return ng.count_ngrams(ng.from_rows(indexed, 2, {"col0": F.col("col0")}), ["corpus_id", "col0"])
@@ -261,8 +261,8 @@ def subcorpus_filter(spark, sf_dir):
     lines = cp.document_lines(spark, sf_dir, cp.simple_paragraph())
     keep = Stages(spark).keep
     events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
-    resolved = keep(st.resolve(events, _DOC_P, cp.LINE_ORDER, keep))
-    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER, keep)
+    resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
+    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER)
     words = token_lines(lines).select(
         *cp.LINE_ORDER.place, token_column(0).alias("word"), token_column(1).alias("col0")
     )

@@ -57,12 +57,12 @@ def build(
     else:
         events = keep(struct_events(lines).withColumn("tok", F.lit(0).cast("long")))
         if filter_attrs:
-            tokens = tk.tokens_in_context(tokens, keep(st.resolve(events, spec, order, keep)), filter_attrs, order)
+            tokens = tk.tokens_in_context(tokens, st.resolve(events, spec, order, keep), filter_attrs, order)
         tokens = keep(tokens.where(token_filter).select(*order.place, *[e.alias(c) for c, e in named.items()]))
         events = keep(tk.accepted_before_tags(tokens, events.drop("tok"), order))
-    resolved = keep(st.resolve(events, spec, order, keep))
-    marked = keep(st.mark_units(resolved, spec, join, order, keep))
-    errors = [st.structure_errors(events, spec, order, keep)]
+    resolved = st.resolve(events, spec, order, keep)
+    marked = keep(st.mark_units(resolved, spec, join, order))
+    errors = [st.structure_errors(events if spec.nested else resolved, spec, order, keep)]
     if join:
         errors.append(st.item_id_errors(resolved, spec, join, order))
     frequencies = None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,15 +12,18 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names; a temporary one only in local mode, where it is unset."""
+    """The folder the session names; one temporary folder only in local mode, where it is unset."""
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="corpuslake-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="corpuslake-")
 
 
 class Stages:
