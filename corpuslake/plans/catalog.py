@@ -249,9 +249,9 @@ def segment_ngrams(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
     resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
-    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER)
+    ends = st.unit_ends(resolved, _DOC_P)
     tokens = token_lines(lines).select(*cp.LINE_ORDER.place, token_column(0).alias("col0"))
-    indexed = tk.indexed_tokens(tokens, keep(marked), cp.LINE_ORDER)
+    indexed = tk.indexed_tokens(tokens, ends, cp.LINE_ORDER)
     return ng.count_ngrams(ng.from_rows(indexed, 2, {"col0": F.col("col0")}), ["corpus_id", "col0"])
 
 
@@ -262,14 +262,14 @@ def subcorpus_filter(spark, sf_dir):
     keep = Stages(spark).keep
     events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
     resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
-    marked = st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER)
+    ends = st.unit_ends(resolved, _DOC_P)
     words = token_lines(lines).select(
         *cp.LINE_ORDER.place, token_column(0).alias("word"), token_column(1).alias("col0")
     )
     context = tk.tokens_in_context(words, resolved, ["doc_source"], cp.LINE_ORDER)
     accepted = context.where(~F.col("doc_source").isin("src0", "src1") & ~F.col("word").rlike("[0-9]"))
     accepted = keep(accepted.drop("word", "doc_source"))
-    indexed = tk.indexed_tokens(accepted, keep(marked), cp.LINE_ORDER)
+    indexed = tk.indexed_tokens(accepted, ends, cp.LINE_ORDER)
     return ng.count_ngrams(ng.from_rows(indexed, 3, {"col0": F.col("col0")}), ["corpus_id", "col0"])
 
 
