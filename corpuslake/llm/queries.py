@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslake.llm import line_dedup, quality, secrets
+from corpuslake.llm import embedding_join, line_dedup, quality, secrets, simhash_vptree
 from corpuslake.llm.common import let, table
+from corpuslake.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,3 +51,14 @@ def op6_quality_rules(spark, sf_dir):
     return docs.select(
         "doc_id", let(quality.quality_report(F.col("text")), lambda r: F.struct(*[r[n].alias(n) for n in names])).alias("r")
     ).select("doc_id", "r.*")
+
+
+@query
+def op2_embedding_join(spark, sf_dir):
+    return embedding_join.cosine_links(table(spark, sf_dir, "embeddings"), Stages(spark))
+
+
+@query
+def op8_simhash(spark, sf_dir):
+    found = simhash_vptree.simhash_classes(table(spark, sf_dir, "documents"), Stages(spark))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
