@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslake.llm import embedding_join, line_dedup, quality, secrets, simhash_vptree
+from corpuslake.llm import embedding_join, line_dedup, packing, quality, secrets, simhash_vptree
 from corpuslake.llm.common import let, table
 from corpuslake.stages import Stages
 
@@ -62,3 +63,9 @@ def op2_embedding_join(spark, sf_dir):
 def op8_simhash(spark, sf_dir):
     found = simhash_vptree.simhash_classes(table(spark, sf_dir, "documents"), Stages(spark))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op1_packing(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), Stages(spark), path)
