@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslake.llm import embedding_join, line_dedup, packing, quality, secrets, simhash_vptree
+from corpuslake.llm import embedding_join, line_dedup, packing, quality, secrets, simhash_vptree, warc
 from corpuslake.llm.common import let, table
-from corpuslake.stages import Stages
+from corpuslake.stages import Stages, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,3 +70,10 @@ def op8_simhash(spark, sf_dir):
 def op1_packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), Stages(spark), path)
+
+
+@query
+def op9_warc(spark, sf_dir):
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder).drop("url", "payload")
