@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslake.llm import embedding_join, line_dedup, packing, quality, secrets, simhash_vptree, warc
+from corpuslake.llm import (
+    embedding_join,
+    line_dedup,
+    packing,
+    quality,
+    quotation_links,
+    secrets,
+    sentencepiece_codec,
+    simhash_vptree,
+    toxicity,
+    warc,
+)
 from corpuslake.llm.common import let, table
 from corpuslake.stages import Stages, shared_folder
 
@@ -77,3 +88,29 @@ def op9_warc(spark, sf_dir):
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
     return warc.read_warc(spark, folder).drop("url", "payload")
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    codec = sentencepiece_codec.Codec.load(public_tokenizers.path("piece_bpe_32k.model"))
+    found = sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), codec)
+    return found.select("doc_id", "n_tokens", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "same")
+
+
+@query
+def op10_quotation_links(spark, sf_dir):
+    """The turns as mail that quotes the two turns before it; the links and the texts are found again."""
+    mail = quotation_links.as_mail(table(spark, sf_dir, "conversations"))
+    found = quotation_links.link_quotations(mail, Stages(spark))
+    return found.select(
+        F.col("scope").alias("conv_id"), F.col("message").alias("turn"), "n_quoted", "n_linked", "reply_to", "thread",
+        "level", F.sha2("text", 256).alias("text_sha256"),
+    )
