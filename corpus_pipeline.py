@@ -13,9 +13,13 @@ _COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:
-    """The columns of documents with a new text and its length."""
-    new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
-    return docs.select(*[new.get(c, F.col(c)) for c in _COLUMNS])
+    """The columns of documents with a new text and its length.
+
+    In two steps: beside an alias ``text``, a lambda's ``text`` would mean the alias.
+    """
+    changed = docs.select(*[text.alias("text") if c == "text" else F.col(c) for c in _COLUMNS])
+    n_chars = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")
+    return changed.select(*[n_chars if c == "n_chars" else F.col(c) for c in _COLUMNS])
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
