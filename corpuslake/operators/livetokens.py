@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from corpuslake.functions.udfeats import feat_sets, feats_key
 
 # What unparsed features and number-like values look like.
-UNPARSED_FEATS = r"^[a-zA-Z0-9]+=[a-zA-Z0-9]+(\|[a-zA-Z0-9]+=[a-zA-Z0-9]+)*$"
-PSEUDO_NUMBER = r"([-+])?[0-9]+(/[0-9]*)?"
+FEATURE_TEXT = r"^[a-zA-Z0-9]+=[a-zA-Z0-9]+(\|[a-zA-Z0-9]+=[a-zA-Z0-9]+)*$"
+NUMBER_LIKE = r"([-+])?[0-9]+(/[0-9]*)?"
 
 
 def count_combinations(
@@ -40,21 +40,21 @@ def count_combinations(
     ).withColumn("feats_key", feats_key(F.col("feats")))
 
 
-def seems_valid(attrs: Sequence[str], strict_numeric: bool = False) -> Column:
+def looks_valid(attrs: Sequence[str], strict_numeric: bool = False) -> Column:
     """False for combinations with unparsed features or digits in a value, or with blank values only.
 
     ``strict_numeric`` refuses values that are numbers as a whole instead of any value with a digit.
     """
     values = [F.coalesce(F.col(a), F.lit("")) for a in attrs]
-    number = f"^{PSEUDO_NUMBER}$" if strict_numeric else PSEUDO_NUMBER
-    wrong = [v.rlike(UNPARSED_FEATS) | F.trim(v).rlike(number) for v in values]
+    number = f"^{NUMBER_LIKE}$" if strict_numeric else NUMBER_LIKE
+    wrong = [v.rlike(FEATURE_TEXT) | F.trim(v).rlike(number) for v in values]
     blank = reduce(lambda a, b: a & b, [v.rlike(r"^\s*$") for v in values])
     return ~reduce(lambda a, b: a | b, wrong) & ~blank
 
 
 def valid_only(combinations: DataFrame, attrs: Sequence[str], strict_numeric: bool = False) -> DataFrame:
     """Combinations that seem valid. Naming ``cnt`` keeps the test after the counting, once for each."""
-    return combinations.where(F.when(F.col("cnt") > 0, seems_valid(attrs, strict_numeric)))
+    return combinations.where(F.when(F.col("cnt") > 0, looks_valid(attrs, strict_numeric)))
 
 
 def token_tables(combinations: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, DataFrame]:

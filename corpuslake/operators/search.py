@@ -26,20 +26,20 @@ def _feat_tests(filters: Filters | Sequence[tuple[str, str]] | None) -> list[Col
     return [(F.col("feat") == f) & F.col("value").isin(_values(v)) for f, v in pairs if _values(v)]
 
 
-def with_feats(tokens: DataFrame, feats: DataFrame, tests: Sequence[Column]) -> DataFrame:
-    """Tokens whose features pass every test, with ``feats``, the sorted array of all their features.
+def _filtered(tokens: DataFrame, feats: DataFrame, attrs: Filters | None, feat_filter) -> DataFrame:
+    """Tokens that pass. Each test reads only the features it names, which the stored order of ``feats`` lets a scan find."""
+    kept = tokens.where(attr_filter(attrs))
+    for test in _feat_tests(feat_filter):
+        kept = kept.join(feats.where(test).select("token_id"), "token_id", "left_semi")
+    return kept
 
-    One join and one grouping on ``token_id`` do for any number of tests. A token has few features.
-    """
+
+def with_feats(tokens: DataFrame, feats: DataFrame) -> DataFrame:
+    """Tokens with ``feats``, the sorted array of their features; those without any go. A token has few features."""
     attrs = [c for c in tokens.columns if c != "token_id"]
-    joined = tokens.join(feats, "token_id")
-    passed = joined.groupBy("token_id").agg(
-        *[F.first(a).alias(a) for a in attrs],
-        F.array_sort(F.collect_list(F.struct("feat", "value"))).alias("feats"),
-        *[F.bool_or(t).alias(f"__t{i}") for i, t in enumerate(tests)],
+    return tokens.join(feats, "token_id").groupBy("token_id").agg(
+        *[F.first(a).alias(a) for a in attrs], F.array_sort(F.collect_list(F.struct("feat", "value"))).alias("feats")
     )
-    names = [f"__t{i}" for i in range(len(tests))]
-    return passed.where(reduce(lambda a, b: a & b, [F.col(n) for n in names], F.lit(True))).drop(*names)
 
 
 def search_tokens(
@@ -50,9 +50,9 @@ def search_tokens(
 ) -> DataFrame:
     """Matching tokens with ``cnt``, attributes, ``udfeats`` (``A=x|B=y``) and ``feats``.
 
-    Tokens without features do not match.
+    Tokens without features do not match. Features are put together for the matching tokens only.
     """
-    found = with_feats(tokens.where(attr_filter(attrs)), feats, _feat_tests(feat_filter))
+    found = with_feats(_filtered(tokens, feats, attrs, feat_filter), feats)
     text = F.array_join(F.transform("feats", lambda p: F.concat(p["feat"], F.lit("="), p["value"])), "|")
     return found.withColumn("udfeats", text).drop("token_id")
 
@@ -68,13 +68,6 @@ def total(matches: DataFrame) -> DataFrame:
     return matches.agg(F.count("*").alias("total"))
 
 
-def _filtered(tokens: DataFrame, feats: DataFrame, attrs: Filters | None, feat_filter) -> DataFrame:
-    kept = tokens.where(attr_filter(attrs))
-    for test in _feat_tests(feat_filter):
-        kept = kept.join(feats.where(test).select("token_id"), "token_id", "left_semi")
-    return kept
-
-
 def attr_values(
     tokens: DataFrame, feats: DataFrame, names: Sequence[str], attrs: Filters | None = None, feat_filter=None
 ) -> DataFrame:
@@ -94,10 +87,11 @@ def feat_values(tokens: DataFrame, feats: DataFrame, attrs: Filters | None = Non
 
 
 def available_values(
-    tokens: DataFrame, feats: DataFrame, names: Sequence[str], attrs: Filters | None = None, feat_filter=None
+    tokens: DataFrame, feats: DataFrame, names: Sequence[str], attrs: Filters | None = None, feat_filter=None, keep=None
 ) -> DataFrame:
-    """``kind, name, value`` over attributes (``attr``) and features (``feat``)."""
+    """``kind, name, value`` over attributes (``attr``) and features (``feat``); ``keep`` may store the filtered tokens."""
     kept = _filtered(tokens, feats, attrs, feat_filter)
+    kept = keep(kept) if keep else kept
     a = attr_values(kept, feats, names).select(F.lit("attr").alias("kind"), "name", "value")
     f = feat_values(kept, feats).select(F.lit("feat").alias("kind"), F.col("feat").alias("name"), "value")
     return a.unionByName(f)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ from corpuslake.operators import structure as st
 from corpuslake.operators import tokens as tk
 from corpuslake.operators import units
 from corpuslake.plans import corpora as cp
+from corpuslake.plans.extraction import extract
+from corpuslake.sinks import tables as sink
 from corpuslake.sources.tables import corpus_sizes, with_token_offsets
-from corpuslake.sources.vertical import struct_events, token_column, token_lines
+from corpuslake.sources.vertical import read_lines, resolve_paths, struct_events, token_column, token_lines
 from corpuslake.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +56,18 @@ def bigram_arf(spark, sf_dir):
     return ng.frequency_table(ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total("corpus_size")), spec)
 
 
+@query
+def bigram_arf_hot(spark, sf_dir):
+    """The same with n-grams split that one sort of a large corpus could not hold."""
+    spec, rules = _rules(VertColumn(0, "", "lemma"), size=2)
+    texts = cp.document_tokens(spark, sf_dir)
+    sizes = corpus_sizes(texts, ["corpus_id"], F.size("tokens"))
+    placed = sizes.attach(with_token_offsets(texts, cp.TEXT_ORDER), ["doc_id"])
+    occurrences = ng.from_arrays(placed, 2, rules, ["corpus_id", "corpus_size"], base="base")
+    counts = ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total("corpus_size"), hot_run=200)
+    return ng.frequency_table(counts, spec)
+
+
 @query
 def trigram_counts(spark, sf_dir):
     _, rules = _rules(VertColumn(0, "toLower"), size=3)
@@ -60,15 +75,26 @@ def trigram_counts(spark, sf_dir):
     return ng.count_ngrams(occurrences, ["corpus_id", "col0"])
 
 
-@query
-def ngram_ipm(spark, sf_dir):
+def _ipm(spark, sf_dir, **options):
+    """Every token is a unigram, so the counts add up to the sizes."""
     _, rules = _rules(VertColumn(0, "toLower"))
-    texts = cp.document_tokens(spark, sf_dir)
-    counts = ng.count_ngrams(ng.from_arrays(texts, 1, rules), ["corpus_id", "col0"])
-    sized = corpus_sizes(texts, ["corpus_id"], F.size("tokens")).attach(counts, ["col0"])
+    counts = ng.count_ngrams(ng.from_arrays(cp.document_tokens(spark, sf_dir), 1, rules), ["corpus_id", "col0"])
+    counts = Stages(spark).keep(counts)
+    sized = corpus_sizes(counts, ["corpus_id"], F.col("count"), **options).attach(counts, ["col0"])
     return sized.select("corpus_id", "col0", "count", ng.per_million(F.col("count"), F.col("corpus_size")).alias("ipm"))
 
 
+@query
+def ngram_ipm(spark, sf_dir):
+    return _ipm(spark, sf_dir)
+
+
+@query
+def ngram_ipm_many(spark, sf_dir):
+    """The same by the join for more corpora than are broadcast."""
+    return _ipm(spark, sf_dir, at_most=1)
+
+
 _MULTI = (VertColumn(0, ""), VertColumn(1, "", "lemma"), VertColumn(2, "penn"))
 
 
@@ -273,6 +299,92 @@ def subcorpus_filter(spark, sf_dir):
     return ng.count_ngrams(ng.from_rows(indexed, 3, {"col0": F.col("col0")}), ["corpus_id", "col0"])
 
 
+@query
+def liveattrs_selfclosing(spark, sf_dir):
+    """Paragraphs without a final stop are self-closing tags; a ``q`` reaches from each odd paragraph into the next."""
+
+    def paragraph(text, num):
+        k = (num + 1).cast("string")
+        words = F.transform(cp.words_of(text), cp.plain_token)
+        quote = F.when(num % 2 == 0, F.concat(F.lit('<q part="'), k, F.lit('">'))).otherwise("</q>")
+        return F.when(
+            text.endswith("."), F.concat(F.array(cp.p_tag(num), quote), words, F.array(F.lit("</p>")))
+        ).otherwise(F.concat(F.array(F.concat(F.lit('<p num="'), k, F.lit('"/>')), quote), words))
+
+    last = F.when(F.size(F.split("text", "\n")) % 2 == 1, "</q>").otherwise("")
+    lines = cp.document_lines(spark, sf_dir, paragraph, after=(last,))
+    spec = StructureSpec({"doc": ["id"], "q": ["part"], "p": ["num"]}, atom="p")
+    keep = Stages(spark).keep
+    events = keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
+    resolved = st.resolve(events, spec, cp.LINE_ORDER, keep)
+    return st.unit_rows(st.mark_units(resolved, spec, None, cp.LINE_ORDER), spec, None, cp.LINE_ORDER)
+
+
+# --- files and stored tables ------------------------------------------------------------------
+
+
+def _written_vertical(spark, sf_dir, stages, where, latin=False, **options):
+    """Documents as vertical files, whose lines follow each other as they are made; ``latin`` in a single-byte charset."""
+    lines = cp.document_lines(spark, sf_dir, cp.simple_paragraph(cp.full_token), where=where).select("line")
+    if latin:
+        lines = lines.select(F.encode("line", "ISO-8859-1").cast("string").alias("line"))
+    folder = stages.folder()
+    lines.write.options(**options).text(folder)
+    return folder
+
+
+@query
+def vertical_files_scan(spark, sf_dir):
+    """The lines of ``vertical_lines_parse`` from files: plain, packed by gzip, and in a single-byte charset."""
+    stages, lang = Stages(spark), F.col("lang")
+    parts = [
+        ("en", "utf-8", _written_vertical(spark, sf_dir, stages, lang == "en")),
+        ("fr", "utf-8", _written_vertical(spark, sf_dir, stages, lang == "fr", compression="gzip")),
+        *[(x, "iso8859-1", _written_vertical(spark, sf_dir, stages, lang == x, latin=True)) for x in ("de", "es")],
+    ]
+    lines = [
+        read_lines(spark, resolve_paths(spark, file=folder, skip_hidden=True), corpus, encoding)
+        for corpus, encoding, folder in parts
+    ]
+    names = ["word", "lemma", "tag", "feats"]
+    tokens = token_lines(reduce(DataFrame.union, lines))
+    cols = tokens.select("corpus_id", *[token_column(i).alias(n) for i, n in enumerate(names)])
+    return cols.groupBy("corpus_id", *names).agg(F.count("*").alias("n"))
+
+
+@query
+def sink_units(spark, sf_dir):
+    """Text units of one corpus created and of another appended to the same table, in a moving window."""
+    stages = Stages(spark)
+    root, spec = stages.folder(), StructureSpec({"doc": ["id", "date"]}, atom="doc")
+    for corpus, options in (("es", {}), ("fr", {"append": True, "date_attr": "doc_date", "remove_before": "2020-06-01"})):
+        folder = _written_vertical(spark, sf_dir, stages, F.col("lang") == corpus)
+        files = resolve_paths(spark, file=folder, skip_hidden=True)
+        extract(spark, sink.Target(root, corpus, group="both"), spec, files=files, **options)
+    target = sink.Target(root, "es", group="both")
+    return sink.read(spark, target, target.units).select("doc_id", "doc_date", "poscount", "wordcount", "corpus_id")
+
+
+@query
+def sink_frequencies(spark, sf_dir):
+    root = Stages(spark).folder()
+    spec, rules = _rules(VertColumn(0, ""))
+    for corpus in ("es", "fr"):
+        target = sink.Target(root, corpus, group="both")
+        texts = cp.document_tokens(spark, sf_dir).where(F.col("corpus_id") == corpus)
+        counts = ng.count_ngrams(ng.from_arrays(texts, 1, rules), ["corpus_id", "col0"])
+        sink.write_frequencies(ng.frequency_table(counts, spec), target, append=corpus == "fr")
+    return sink.read(spark, target, target.frequencies)
+
+
+@query
+def sink_livetokens(spark, sf_dir):
+    target = sink.Target(Stages(spark).folder(), "documents")
+    sink.write_livetokens(*_stored_livetokens(spark, sf_dir), target)
+    found = search.search_tokens(sink.read(spark, target, target.tokens), sink.read(spark, target, target.feats))
+    return found.select(*_ATTRS, "cnt", "udfeats")
+
+
 # --- item ids, alignment, windows -------------------------------------------------------------
 
 
@@ -373,8 +485,8 @@ def livetokens_valid(spark, sf_dir):
         *_ATTRS,
         "feats_key",
         "cnt",
-        lt.seems_valid(_ATTRS).alias("valid"),
-        lt.seems_valid(_ATTRS, strict_numeric=True).alias("valid_strict"),
+        lt.looks_valid(_ATTRS).alias("valid"),
+        lt.looks_valid(_ATTRS, strict_numeric=True).alias("valid_strict"),
     )
 
 
@@ -407,3 +519,18 @@ def facet_attr_values(spark, sf_dir):
 def facet_feat_values(spark, sf_dir):
     tokens, feats = _stored_livetokens(spark, sf_dir)
     return search.feat_values(tokens, feats, {"tag": ["NNS", "NNP"]}, {"Cap": ["Yes", "No"]})
+
+
+@query
+def search_feats_map(spark, sf_dir):
+    tokens, feats = _stored_livetokens(spark, sf_dir)
+    found = search.search_tokens(tokens, feats, None, {"Cap": "Yes"}).withColumn("map", search.feats_map(F.col("feats")))
+    pairs = F.array_sort(F.transform(F.map_entries("map"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return found.select("lemma", "cnt", F.array_join(pairs, "|").alias("feats"), F.col("map")["Suf"].alias("suffix"))
+
+
+@query
+def available_values(spark, sf_dir):
+    tokens, feats = _stored_livetokens(spark, sf_dir)
+    keep = Stages(spark).keep
+    return search.available_values(tokens, feats, _ATTRS, {"tag": ["NNS", "VBG"]}, {"Len": ["M", "L"]}, keep=keep)

@@ -108,12 +108,14 @@ def document_lines(
     sf_dir: str,
     paragraph: Callable[[Column, Column], Column],
     before: tuple[Column, ...] = (),
-    after: tuple[str, ...] = (),
+    after: tuple[str | Column, ...] = (),
+    where: Column | None = None,
 ) -> DataFrame:
     """Documents as vertical lines; ``paragraph(text, num)`` gives the lines of one, as an array."""
     body = F.flatten(F.transform(F.split("text", "\n"), paragraph))
     lines = F.concat(F.array(doc_tag(), *before), body, F.array(*[F.lit(a) for a in after], F.lit("</doc>")))
-    docs = spread(documents(spark, sf_dir).select("corpus_id", "doc_id", "text", "lang", "source"), "doc_id")
+    docs = documents(spark, sf_dir).where(F.lit(True) if where is None else where)
+    docs = spread(docs.select("corpus_id", "doc_id", "text", "lang", "source"), "doc_id")
     rows = docs.select("corpus_id", "doc_id", F.posexplode(lines).alias("seq", "line"))
     return rows.select(
         "corpus_id",

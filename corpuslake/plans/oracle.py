@@ -82,11 +82,11 @@ VALID_STRICT = r"""NOT regexp_matches(lemma, '^[a-zA-Z0-9]+=[a-zA-Z0-9]+(\|[a-zA
   AND NOT regexp_matches(lemma, '^([-+])?[0-9]+(/[0-9]*)?$')"""
 
 LIVE = COMBOS + f""",
-live AS (
+live AS MATERIALIZED (
   SELECT *, sha256(length(lemma) || ':' || lemma || length(tag) || ':' || tag
     || length(feats_key) || ':' || feats_key) AS token_id
   FROM combos WHERE {VALID}),
-udfeats AS (
+udfeats AS MATERIALIZED (
   SELECT token_id, split_part(item, '=', 1) AS feat, split_part(item, '=', 2) AS value
   FROM (SELECT token_id, unnest(string_split(feats_key, '|')) AS item FROM live))"""
 
@@ -193,10 +193,10 @@ wide AS (
          first_value(CASE WHEN regexp_matches(word, '[0-9]') THEN 3 ELSE 2 END)
            OVER (PARTITION BY corpus_id ORDER BY doc_id, num, spot) AS expected
   FROM toks)
-SELECT corpus_id, doc_id, CAST(opens AS INTEGER) AS line, 'self-recursion not allowed, element <p> in <p>' AS message
+SELECT corpus_id, doc_id, CAST(opens AS INTEGER) AS line, 'open of <p> while still open: <p>' AS message
 FROM seqd WHERE earlier_stop = 0
 UNION ALL
-SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER), 'cannot close element <q> - no previous opening'
+SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER), 'close of q, which is not open'
 FROM seqd WHERE digit = 1
 UNION ALL
 SELECT wide.corpus_id, wide.doc_id, CAST(opens + k AS INTEGER),
@@ -240,21 +240,49 @@ FROM (SELECT DISTINCT feats FROM tagged) LEFT JOIN sets ON feats = raw""",
     "livetokens_feats": f"WITH {LIVE} SELECT * FROM udfeats",
     "search_tokens": f"""WITH {LIVE}
 SELECT lemma, tag, cnt, feats_key AS udfeats FROM live t
-WHERE tag = 'NNS' AND EXISTS (SELECT 1 FROM udfeats f WHERE f.token_id = t.token_id AND feat = 'Cap' AND value = 'No')
-  AND EXISTS (SELECT 1 FROM udfeats f WHERE f.token_id = t.token_id AND feat = 'Len' AND value IN ('M', 'L'))""",
+WHERE tag = 'NNS' AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value = 'No')
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Len' AND value IN ('M', 'L'))""",
     "search_total": f"""WITH {LIVE}
 SELECT count(*) AS total FROM live t
 WHERE tag IN ('NNP', 'VBG')
-  AND EXISTS (SELECT 1 FROM udfeats f WHERE f.token_id = t.token_id AND feat = 'Len' AND value = 'L')""",
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Len' AND value = 'L')""",
     "facet_attr_values": f"""WITH {LIVE},
 kept AS (
   SELECT * FROM live t WHERE tag IN ('NNS', 'VBG')
-  AND EXISTS (SELECT 1 FROM udfeats f WHERE f.token_id = t.token_id AND feat = 'Len' AND value IN ('M', 'L'))
-  AND EXISTS (SELECT 1 FROM udfeats f WHERE f.token_id = t.token_id AND feat = 'Cap' AND value = 'No'))
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Len' AND value IN ('M', 'L'))
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value = 'No'))
 SELECT DISTINCT 'lemma' AS name, lemma AS value FROM kept
 UNION ALL SELECT DISTINCT 'tag', tag FROM kept""",
     "facet_feat_values": f"""WITH {LIVE}
 SELECT DISTINCT f.feat, f.value FROM live t JOIN udfeats f USING (token_id)
 WHERE tag IN ('NNS', 'NNP')
-  AND EXISTS (SELECT 1 FROM udfeats g WHERE g.token_id = t.token_id AND g.feat = 'Cap' AND g.value IN ('Yes', 'No'))""",
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value IN ('Yes', 'No'))""",
+    "search_feats_map": f"""WITH {LIVE}
+SELECT lemma, cnt, feats_key AS feats, CASE WHEN regexp_matches(feats_key, '(^|\\|)Suf=') THEN 'tion' END AS suffix
+FROM live t WHERE t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value = 'Yes')""",
+    "available_values": f"""WITH {LIVE},
+kept AS (
+  SELECT * FROM live t WHERE tag IN ('NNS', 'VBG')
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Len' AND value IN ('M', 'L')))
+SELECT DISTINCT 'attr' AS kind, 'lemma' AS name, lemma AS value FROM kept
+UNION ALL SELECT DISTINCT 'attr', 'tag', tag FROM kept
+UNION ALL SELECT DISTINCT 'feat', feat, value FROM udfeats WHERE token_id IN (SELECT token_id FROM kept)""",
+    "liveattrs_selfclosing": f"""WITH {UNITS}
+SELECT units.doc_id, CASE WHEN num % 2 = 0 THEN CAST(num - 1 AS VARCHAR) END AS q_part, p_num, poscount, wordcount, units.corpus_id
+FROM units JOIN (SELECT CAST(doc_id AS VARCHAR) AS doc_id, num, line FROM paras) AS p
+  ON units.doc_id = p.doc_id AND p_num = CAST(num AS VARCHAR) WHERE line LIKE '%.'""",
+    "sink_units": f"""WITH {UNITS}, docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, {DAY} AS day FROM documents)
+SELECT doc_id, doc_date, poscount, wordcount, corpus_id FROM (
+  SELECT units.doc_id, day AS doc_date, CAST(sum(poscount) AS BIGINT) AS poscount, CAST(0 AS BIGINT) AS wordcount, corpus_id
+  FROM units JOIN docs ON units.doc_id = docs.id GROUP BY units.doc_id, day, corpus_id)
+WHERE corpus_id = 'fr' OR corpus_id = 'es' AND doc_date >= '2020-06-01'""",
+    "sink_frequencies": f"""WITH {TOKENS}
+SELECT CASE WHEN strlen(word) <= 127 THEN word END AS col0, sha1(word) AS hash_id, count(*) AS "count",
+       CAST(-1 AS DOUBLE) AS arf, false AS initial_cap, corpus_id, CAST('1' AS VARCHAR) AS ngram_size
+FROM toks WHERE corpus_id IN ('es', 'fr') GROUP BY corpus_id, word""",
+    "sink_livetokens": f"""WITH {LIVE} SELECT lemma, tag, cnt, feats_key AS udfeats FROM live""",
 }
+ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_lines_parse"]
+ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf"]
+ORACLE_SQL["ngram_ipm_many"] = ORACLE_SQL["ngram_ipm"]

@@ -54,11 +54,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read(spark: SparkSession, target: Target, path: str) -> DataFrame:
     # Partition values such as a corpus named 2020 stay strings.
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
     try:
         return spark.read.format(target.format).load(path)
     finally:
-        spark.conf.unset("spark.sql.sources.partitionColumnTypeInference.enabled")
+        spark.conf.set(setting, before)
 
 
 def require_existing(spark: SparkSession, target: Target) -> None:
@@ -82,6 +84,11 @@ def write_livetokens(tokens: DataFrame, feats: DataFrame, target: Target) -> Non
     feats.sortWithinPartitions("feat", "value").write.format(target.format).mode("overwrite").save(target.feats)
 
 
+def _partition(spark: SparkSession, column: str, value: str | None) -> str:
+    """The folder of a partition, with the characters escaped as Spark does when it writes."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+
+
 def remove_older(spark: SparkSession, target: Target, date_attr: str, oldest: dt.date | str) -> int:
     """Removes text units older than a date and tells how many. Only corpora that lose some are rewritten."""
     stored = read(spark, target, target.units)
@@ -98,7 +105,7 @@ def remove_older(spark: SparkSession, target: Target, date_attr: str, oldest: dt
     ).save(target.units)
     for row in losses:
         if row["gone"] == row["all"]:
-            fs, folder = _hadoop_path(spark, f"{target.units}/corpus_id={row['corpus_id']}")
+            fs, folder = _hadoop_path(spark, f"{target.units}/{_partition(spark, 'corpus_id', row['corpus_id'])}")
             fs.delete(folder, True)
     stages.drop()
     return sum(r["gone"] for r in losses)

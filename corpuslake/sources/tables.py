@@ -46,10 +46,10 @@ class PerCorpus:
     few: bool
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], **values: Column) -> PerCorpus:
+    def of(cls, df: DataFrame, keys: Sequence[str], at_most: int = FEW_CORPORA, **values: Column) -> PerCorpus:
         made = df.groupBy(*keys).agg(*[e.alias(n) for n, e in values.items()])
-        rows = made.limit(FEW_CORPORA + 1).collect()
-        few = len(rows) <= FEW_CORPORA
+        rows = made.limit(at_most + 1).collect()
+        few = len(rows) <= at_most
         table = df.sparkSession.createDataFrame(rows, made.schema) if few else made
         return cls(table, tuple(keys), tuple(values), few)
 
@@ -68,9 +68,9 @@ class PerCorpus:
         return self.table.agg(F.sum(value)).first()[0] or 0
 
 
-def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column) -> PerCorpus:
+def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column, at_most: int = FEW_CORPORA) -> PerCorpus:
     """``corpus_size``: the sum of ``tokens`` per corpus."""
-    return PerCorpus.of(df, keys, corpus_size=F.coalesce(F.sum(tokens), F.lit(0)).cast("long"))
+    return PerCorpus.of(df, keys, at_most, corpus_size=F.coalesce(F.sum(tokens), F.lit(0)).cast("long"))
 
 
 def with_token_offsets(texts: DataFrame, order: Order, tokens: str = "tokens") -> DataFrame:

@@ -21,30 +21,43 @@ CHUNK_BITS = 20
 SPAN_BITS = 34
 
 
-def resolve_paths(spark: SparkSession, file: str | None = None, files: Sequence[str] | None = None) -> list[str]:
-    """One of ``file`` and ``files``; a directory stands for its files by name. Bad entries are skipped."""
+def resolve_paths(
+    spark: SparkSession, file: str | None = None, files: Sequence[str] | None = None, skip_hidden: bool = False
+) -> list[str]:
+    """One of ``file`` and ``files``; a directory stands for its files by name. Entries that don't exist are skipped.
+
+    Spark's readers pass over files whose names begin with ``_`` or ``.``, so such a file raises an error;
+    ``skip_hidden`` leaves out those of directories (``_SUCCESS`` and the like) instead.
+    """
     if (file is None) == (files is None):
-        raise ValueError("give either one vertical path or a list of them")
+        raise ValueError("exactly one of file and files is needed")
     hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     found: list[str] = []
     for entry in [file] if files is None else files:
         if not entry:
-            warnings.warn("empty vertical path, skipping", stacklevel=2)
+            warnings.warn("a path without text is left out", stacklevel=2)
             continue
         path = hadoop.Path(entry)
         fs = path.getFileSystem(conf)
         if not fs.exists(path):
-            warnings.warn(f"invalid vertical path {entry}, skipping", stacklevel=2)
+            warnings.warn(f"nothing exists at {entry}, so it is left out", stacklevel=2)
             continue
         if fs.getFileStatus(path).isFile():
             found.append(fs.makeQualified(path).toString())
         else:
-            found += sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile())
+            listed = sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile())
+            found += [p for p in listed if not (skip_hidden and _hidden(p))]
+    if hidden := [p for p in found if _hidden(p)]:
+        raise ValueError(f"Spark would not read {hidden[0]}: rename it, or leave such files out with skip_hidden")
     if not found:
-        raise FileNotFoundError("no valid vertical files to process")
+        raise FileNotFoundError("none of the given paths holds a file")
     return found
 
 
+def _hidden(path: str) -> bool:
+    return path.rpartition("/")[2][:1] in ("_", ".")
+
+
 def _decoded(raw: Column, encoding: str) -> Column:
     """Text of a line in any charset Python knows, as long as one byte is one character."""
     name = codecs.lookup(encoding).name

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,35 +10,44 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names; one temporary folder only in local mode, where it is unset."""
+    """The folder the session names; in local mode, where it may be unset, one in the warehouse."""
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder all executors can reach")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="corpuslake-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
 
 
 class Stages:
-    """Writes tables to read back; ``drop`` removes them once the job's own output is written."""
+    """Writes tables to read back; ``drop`` removes them once the job's own output is written.
+
+    A query that returns a DataFrame over its stages can't drop them; they go when the driver's JVM ends.
+    """
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
         self._paths: list[str] = []
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def folder(self) -> str:
+        """A new folder, not made yet, that goes with the stages."""
         path = f"{shared_folder(self._spark)}/stage-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        fs, target = self._on_disk(path)
+        fs.deleteOnExit(target)
         self._paths.append(path)
+        return path
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = self.folder()
+        df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
         for path in self._paths:
-            target = self._spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(target, True)
+            fs, target = self._on_disk(path)
+            fs.delete(target, True)
         self._paths.clear()
+
+    def _on_disk(self, path: str):
+        target = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self._spark._jsc.hadoopConfiguration()), target

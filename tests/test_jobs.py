@@ -64,6 +64,27 @@ def test_create_and_append(spark, tmp_path):
     assert sink.read(spark, en, en.units).count() == 2
 
 
+@pytest.mark.parametrize("corpus", ["en:web", "a=b", "50%", "two words", "2020"])
+def test_expired_corpora_with_any_name_go(spark, tmp_path, corpus):
+    out = target(tmp_path, corpus)
+    rows = spark.createDataFrame([("d1", "2001-01-01", corpus), ("d2", "2001-02-01", corpus)], "doc_id string, doc_date string, corpus_id string")
+    sink.write_units(rows, out)
+    more = spark.createDataFrame([("d3", "2031-01-01", "other")], "doc_id string, doc_date string, corpus_id string")
+    sink.write_units(more, out, append=True)
+    assert sink.remove_older(spark, out, "doc_date", "2020-01-01") == 2
+    assert [r["corpus_id"] for r in sink.read(spark, out, out.units).collect()] == ["other"]
+
+
+def test_a_unit_without_item_id_is_kept(spark, tmp_path):
+    path = tmp_path / "v"
+    path.write_text('<doc date="x">\nb\n</doc>\n<doc id="2">\nc\n</doc>\n')
+    spec = StructureSpec({"doc": ["id", "date"], "p": ["n"]}, "p", parent="doc")
+    out = target(tmp_path, "x")
+    extract(spark, out, spec, file=str(path), join=SelfJoin("identity", ["doc_id"]), max_errors=5)
+    got = sorted((str(r["doc_id"]), str(r["doc_date"]), str(r["item_id"])) for r in sink.read(spark, out, out.units).collect())
+    assert got == [("2", "None", "2"), ("None", "None", "None")]
+
+
 def test_moving_window_arguments(spark, tmp_path):
     with pytest.raises(ValueError):
         extract(spark, target(tmp_path, "x"), SPEC, file="x", date_attr="doc_date", remove_before="2020-01-01")

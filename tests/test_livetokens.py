@@ -23,7 +23,7 @@ def test_combinations(spark):
 def test_validity(spark):
     values = ["Case=Nom", "a1", "-5/", " ", "word", "A=1|B=2", "x=y=z"]
     df = spark.createDataFrame([(v, "") for v in values], "a string, b string")
-    got = [tuple(r) for r in df.select(lt.seems_valid(["a", "b"]), lt.seems_valid(["a", "b"], True)).collect()]
+    got = [tuple(r) for r in df.select(lt.looks_valid(["a", "b"]), lt.looks_valid(["a", "b"], True)).collect()]
     # Any digit refuses a value; the strict form asks for a number as a whole.
     assert got == [(False, False), (False, True), (False, False), (False, False), (True, True), (False, False),
                    (True, True)]

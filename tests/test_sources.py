@@ -14,10 +14,10 @@ def ordered(df):
 
 
 def test_files_make_one_stream_in_list_order(spark, tmp_path):
-    (tmp_path / "b file.vert").write_text("line1\nline2\nline3\n")
-    (tmp_path / "a.vert").write_text("line4\r\nline5")
-    paths = resolve_paths(spark, files=[str(tmp_path / "b file.vert"), str(tmp_path / "a.vert")])
-    assert ordered(read_lines(spark, paths, "c")) == ["line1", "line2", "line3", "line4", "line5"]
+    (tmp_path / "z part.vert").write_text("<doc>\none\ttwo\n")
+    (tmp_path / "m.vert").write_text("three\r\n</doc>")
+    paths = resolve_paths(spark, files=[str(tmp_path / "z part.vert"), str(tmp_path / "m.vert")])
+    assert ordered(read_lines(spark, paths, "c")) == ["<doc>", "one\ttwo", "three", "</doc>"]
 
 
 def test_order_and_numbers_over_many_splits(spark, tmp_path):
@@ -48,6 +48,17 @@ def test_directories_gzip_and_bad_entries(spark, tmp_path):
         resolve_paths(spark)
 
 
+@pytest.mark.parametrize("name", ["_a.vert", ".h.vert"])
+def test_files_that_readers_pass_over_are_not_lost(spark, tmp_path, name):
+    (tmp_path / name).write_text("x\ny\n")
+    (tmp_path / "b.vert").write_text("z\n")
+    with pytest.raises(ValueError, match=name):
+        resolve_paths(spark, file=str(tmp_path))
+    with pytest.raises(ValueError, match=name):
+        resolve_paths(spark, file=str(tmp_path / name), skip_hidden=True)
+    assert ordered(read_lines(spark, resolve_paths(spark, file=str(tmp_path), skip_hidden=True), "c")) == ["z"]
+
+
 @pytest.mark.parametrize("encoding", ["utf-8", "iso8859-2", "windows-1250"])
 def test_encodings(spark, tmp_path, encoding):
     text = "kůň\tžluťoučký\ttest\n"

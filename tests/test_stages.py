@@ -7,7 +7,7 @@ from corpuslake.stages import Stages, shared_folder
 
 def session(master, folder=None):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder or default), sparkContext=SimpleNamespace(master=master)
+        conf=SimpleNamespace(get=lambda key, default=None: "/shared/warehouse" if "warehouse" in key else folder or default), sparkContext=SimpleNamespace(master=master)
     )
 
 
@@ -15,7 +15,7 @@ def test_folder_comes_from_the_session():
     assert shared_folder(session("yarn", "hdfs://x/stages/")) == "hdfs://x/stages"
     with pytest.raises(RuntimeError):
         shared_folder(session("yarn"))
-    assert shared_folder(session("local[4]")) == shared_folder(session("local[4]"))
+    assert shared_folder(session("local[4]")) == "/shared/warehouse/stages"
 
 
 def test_stages_are_kept_and_dropped(spark):

@@ -121,17 +121,17 @@ def test_overlap_is_no_error_but_double_opening_is(spark, tmp_path):
     assert messages(spark, tmp_path, ["<doc>", "<p>", "</doc>", "</p>"], spec) == []
     got = messages(spark, tmp_path, ['<p name="a">', '<p id="b">', "</p>", "</p>"], spec)
     assert got == [
-        'self-recursion not allowed, element <p id="b"> in <p name="a">',
-        "cannot close element <p> - no previous opening",
+        'open of <p id="b"> while still open: <p name="a">',
+        "close of p, which is not open",
     ]
 
 
 def test_wrong_nesting_is_an_error(spark, tmp_path):
     spec = StructureSpec({}, "p", nested=True)
     got = messages(spark, tmp_path, ['<doc id="d">', "<p>", "</doc>", "</doc>"], spec)
-    assert got[0] == "encountered element: <doc>, stack top: <p>"
+    assert got[0] == "close of doc does not fit the innermost open element: <p>"
     # A close with nothing open is an error as well.
-    assert messages(spark, tmp_path, ["</p>"], spec) == ["encountered element: <p>, stack top: nothing open"]
+    assert messages(spark, tmp_path, ["</p>"], spec) == ["close of p does not fit the innermost open element: none"]
 
 
 def test_outermost_value_counts_when_nested(spark, tmp_path):
