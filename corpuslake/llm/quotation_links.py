@@ -122,8 +122,9 @@ def link_quotations(
 
     units = rows.where(F.col("scope").isNotNull() & F.col("message").isNotNull())
     units = units.select("scope", "message", F.explode("units").alias("u")).select("scope", "message", "u.*")
-    # One row for each text of a conversation, so that a passage in many messages meets one original.
-    own = units.where("level = 0").groupBy("scope", "key").agg(F.min("message").alias("origin"))
+    # One row for each text of a conversation, so that a passage in many messages meets one original. Written, so that
+    # the join has a plain shuffle on both sides, and Spark can split what one frequent passage brings.
+    own = stages.keep(units.where("level = 0").groupBy("scope", "key").agg(F.min("message").alias("origin")))
     quoted = units.where("level > 0").join(own, ["scope", "key"]).where(F.col("origin") < F.col("message"))
     votes = quoted.groupBy("scope", "message", "level", "origin").agg(F.count("*").alias("n"))
     votes = votes.groupBy("scope", "message").agg(
