@@ -195,7 +195,13 @@ def liveattrs_atoms(spark, sf_dir):
 
 @query
 def bibliography(spark, sf_dir):
-    return units.bibliography(_document_units(spark, sf_dir), ["doc_id", "doc_source", "doc_date"], "doc_id")
+    """Tokens don't matter here, so none is counted."""
+    lines = cp.document_lines(spark, sf_dir, cp.simple_paragraph())
+    keep = Stages(spark).keep
+    events = keep(struct_events(lines).withColumn("tok", F.lit(0)))
+    resolved = st.resolve(events, _DOC_P, cp.LINE_ORDER, keep)
+    made = st.unit_rows(st.mark_units(resolved, _DOC_P, None, cp.LINE_ORDER), _DOC_P, None, cp.LINE_ORDER)
+    return units.bibliography(made, ["doc_id", "doc_source", "doc_date"], "doc_id")
 
 
 def _conversation_units(spark, sf_dir, spec, join=None, corpus=None):
@@ -220,21 +226,51 @@ _DOC_DIV_P = StructureSpec(
 )
 
 
-@query
-def liveattrs_nested(spark, sf_dir):
-    """Two divisions inside each other; the outer one's ``kind`` counts, ``part`` is on the inner one."""
+def _nested_events(spark, sf_dir, paragraph, keep):
+    """Two divisions inside each other around the paragraphs of a document."""
     before = (
         F.concat(F.lit('<div kind="'), F.col("lang"), F.lit('">')),
         F.concat(F.lit('<div kind="'), F.col("source"), F.lit('" part="1">')),
     )
-    lines = cp.document_lines(spark, sf_dir, cp.simple_paragraph(), before, ("</div>", "</div>"))
+    lines = cp.document_lines(spark, sf_dir, paragraph, before, ("</div>", "</div>"))
+    return keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
+
+
+def _nested_units(spark, sf_dir, paragraph):
     keep = Stages(spark).keep
-    events = keep(st.events_with_token_counts(lines, cp.LINE_ORDER))
+    events = _nested_events(spark, sf_dir, paragraph, keep)
     resolved = st.resolve(events, _DOC_DIV_P, cp.LINE_ORDER, keep)
     marked = st.mark_units(resolved, _DOC_DIV_P, None, cp.LINE_ORDER)
     return st.unit_rows(marked, _DOC_DIV_P, None, cp.LINE_ORDER)
 
 
+@query
+def liveattrs_nested(spark, sf_dir):
+    """The outer division's ``kind`` counts, ``part`` is on the inner one."""
+    return _nested_units(spark, sf_dir, cp.simple_paragraph())
+
+
+def _misclosed_paragraph(text, num):
+    """In paragraphs with a digit a division is closed that is not the innermost element."""
+    wrong = F.when(text.rlike("[0-9]"), F.array(F.lit("</div>"))).otherwise(F.array().cast("array<string>"))
+    words = F.transform(cp.words_of(text), cp.plain_token)
+    return F.concat(F.array(cp.p_tag(num)), words, wrong, F.array(F.lit("</p>")))
+
+
+@query
+def liveattrs_nested_errors(spark, sf_dir):
+    """The same units in spite of errors."""
+    return _nested_units(spark, sf_dir, _misclosed_paragraph)
+
+
+@query
+def nested_structure_errors(spark, sf_dir):
+    keep = Stages(spark).keep
+    events = _nested_events(spark, sf_dir, _misclosed_paragraph, keep)
+    errors = st.structure_errors(events, _DOC_DIV_P, cp.LINE_ORDER, keep)
+    return errors.select("corpus_id", F.col("pos.doc_id").alias("doc_id"), F.col("pos.seq").alias("line"), "message")
+
+
 @query
 def structure_errors(spark, sf_dir):
     """Paragraphs without a final stop are left open, those with a digit close a ``q`` never opened.

@@ -106,8 +106,7 @@ def extract(
 
     ``append`` adds the corpus to existing tables, after removing text units older than
     ``remove_before`` by ``date_attr``. Nothing is written or removed if the input has more than
-    ``max_errors`` errors; nested structures (``spec.nested``) tolerate none, since every tag after
-    a wrong one would be read differently. ``options`` are those of ``build``.
+    ``max_errors`` errors; a tag in error is left out. ``options`` are those of ``build``.
     """
     if (date_attr is None) != (remove_before is None):
         raise ValueError("a moving window needs both date_attr and remove_before")
@@ -119,7 +118,7 @@ def extract(
     stages = Stages(spark)
     try:
         made = build(lines, spec, stages, **options)
-        errors = st.check_errors(made.errors, 0 if spec.nested else max_errors)
+        errors = st.check_errors(made.errors, max_errors)
         units = stages.keep(made.units)
         if options.get("join"):
             named = units.select("item_id", "corpus_id")

@@ -283,6 +283,18 @@ SELECT CASE WHEN strlen(word) <= 127 THEN word END AS col0, sha1(word) AS hash_i
 FROM toks WHERE corpus_id IN ('es', 'fr') GROUP BY corpus_id, word""",
     "sink_livetokens": f"""WITH {LIVE} SELECT lemma, tag, cnt, feats_key AS udfeats FROM live""",
 }
+ORACLE_SQL["liveattrs_nested_errors"] = ORACLE_SQL["liveattrs_nested"]
+ORACLE_SQL["nested_structure_errors"] = f"""WITH {TOKENS},
+sized AS (SELECT doc_id, num, count(*) AS n FROM toks GROUP BY doc_id, num),
+shaped AS (
+  SELECT paras.*, coalesce(n, 0) AS n, CAST(regexp_matches(line, '[0-9]') AS INTEGER) AS digit
+  FROM paras LEFT JOIN sized USING (doc_id, num)),
+seqd AS (
+  SELECT *, 3 + coalesce(sum(2 + n + digit) OVER (PARTITION BY doc_id ORDER BY num
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS opens FROM shaped)
+SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER) AS line,
+       'close of div does not fit the innermost open element: <p>' AS message
+FROM seqd WHERE digit = 1"""
 ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_lines_parse"]
 ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf"]
 ORACLE_SQL["ngram_ipm_many"] = ORACLE_SQL["ngram_ipm"]

@@ -103,6 +103,16 @@ def test_error_budget_comes_before_writing(spark, tmp_path):
     assert sink.read(spark, out, out.units).count() == 1
 
 
+def test_nested_structures_use_the_budget_too(spark, tmp_path):
+    path = tmp_path / "nested"
+    path.write_text('<doc id="1">\n<p>\na\n</doc>\n</p>\n</doc>\n')
+    out, spec = target(tmp_path, "n"), StructureSpec({"doc": ["id"]}, "p", nested=True)
+    with pytest.raises(TooManyErrors):
+        extract(spark, out, spec, file=str(path))
+    assert extract(spark, out, spec, file=str(path), max_errors=1) == 1
+    assert [(r["doc_id"], r["poscount"]) for r in sink.read(spark, out, out.units).collect()] == [("1", 1)]
+
+
 def test_bibliography(spark):
     df = spark.createDataFrame([("d1", "1981", "x"), ("d1", "1981", "x")], "doc_id string, doc_year string, doc_author string")
     view = units.bibliography(df, ["doc_id", "doc_author"], "doc_id")

@@ -92,6 +92,21 @@ def test_nested_like_the_model(spark, tmp_path, seed, parent, chunk_bits):
     assert {r["col1"]: r["count"] for r in made.frequencies.collect()} == dict(grams)
 
 
+@pytest.mark.parametrize("seed, parent, chunk_bits", [(11, "doc", 3), (12, "s", 5), (13, None, 20)])
+def test_malformed_nesting_like_the_model(spark, tmp_path, seed, parent, chunk_bits):
+    rng = random.Random(seed)
+    lines = overlapping(rng, 300) if seed == 12 else nested(rng, 400)
+    for _ in range(25):
+        k = rng.randrange(len(lines))
+        lines[k : k + 1] = rng.choice([["</p>"], ["</doc>", lines[k]], [], ["</s>", "</s>"], [lines[k], '<p id="x">']])
+    spec = StructureSpec(STRUCTURES, "p", parent, nested=True)
+    made = extraction(spark, tmp_path, lines, spec, chunk_bits, ngrams=NgramSpec(2, [VertColumn(0)]))
+    units, grams, _, errors = run(lines, STRUCTURES, "p", parent, nested=True)
+    assert made.errors.count() == errors > 0
+    assert unit_rows(made, spec) == sorted(map(repr, units))
+    assert {r["col0"]: r["count"] for r in made.frequencies.collect()} == dict(grams)
+
+
 def test_token_filter_like_the_model(spark, tmp_path):
     lines = overlapping(random.Random(6), 500)
     spec = StructureSpec(STRUCTURES, "p", "doc")
