@@ -15,6 +15,25 @@ FEATURE_TEXT = r"^[a-zA-Z0-9]+=[a-zA-Z0-9]+(\|[a-zA-Z0-9]+=[a-zA-Z0-9]+)*$"
 NUMBER_LIKE = r"([-+])?[0-9]+(/[0-9]*)?"
 
 
+def raw_counts(tokens: DataFrame, attrs: Sequence[str], feats: str, line: str | None = None) -> DataFrame:
+    """``attrs.., feats, cnt`` (, ``last_line``) by raw values: a frequent combination reaches the shuffle as one row per task."""
+    last = [F.max(line).alias("last_line")] if line else []
+    return tokens.groupBy(*attrs, feats).agg(F.count("*").alias("cnt"), *last)
+
+
+def parsed_counts(
+    raw: DataFrame, attrs: Sequence[str], feats: str, line: str | None = None, keep_featless: bool = False
+) -> DataFrame:
+    """``attrs.., feats, feats_key, cnt`` (, ``last_line``) of raw counts, whose features are parsed once per distinct value."""
+    sets = feat_sets(F.col(feats))
+    if keep_featless:
+        sets = F.coalesce(sets, F.array(F.array().cast("array<struct<feat:string,value:string>>")))
+    parsed = raw.select(*attrs, "cnt", *(["last_line"] if line else []), F.explode(sets).alias("feats"))
+    return parsed.groupBy(*attrs, "feats").agg(
+        F.sum("cnt").alias("cnt"), *([F.max("last_line").alias("last_line")] if line else [])
+    ).withColumn("feats_key", feats_key(F.col("feats")))
+
+
 def count_combinations(
     tokens: DataFrame,
     attrs: Sequence[str],
@@ -24,20 +43,10 @@ def count_combinations(
 ) -> DataFrame:
     """``attrs.., feats, feats_key, cnt`` (, ``last_line``): one row per combination.
 
-    Tokens are first counted by their raw values, so features are parsed once per distinct value and
-    a frequent combination reaches the shuffle as one row per task. A token with several feature sets
-    counts once for each; one whose features do not parse counts only with ``keep_featless``, as one
-    without features.
+    A token with several feature sets counts once for each; one whose features do not parse counts only with
+    ``keep_featless``, as one without features.
     """
-    last = [F.max(line).alias("last_line")] if line else []
-    raw = tokens.groupBy(*attrs, feats).agg(F.count("*").alias("cnt"), *last)
-    sets = feat_sets(F.col(feats))
-    if keep_featless:
-        sets = F.coalesce(sets, F.array(F.array().cast("array<struct<feat:string,value:string>>")))
-    parsed = raw.select(*attrs, "cnt", *(["last_line"] if line else []), F.explode(sets).alias("feats"))
-    return parsed.groupBy(*attrs, "feats").agg(
-        F.sum("cnt").alias("cnt"), *([F.max("last_line").alias("last_line")] if line else [])
-    ).withColumn("feats_key", feats_key(F.col("feats")))
+    return parsed_counts(raw_counts(tokens, attrs, feats, line), attrs, feats, line, keep_featless)
 
 
 def looks_valid(attrs: Sequence[str], strict_numeric: bool = False) -> Column:

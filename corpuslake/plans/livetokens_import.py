@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,20 @@ from corpuslake.sources.vertical import read_lines, resolve_paths, token_column,
 from corpuslake.stages import Stages
 
 
+@dataclass(frozen=True)
+class ImportReport:
+    """``width_errors``: token lines of unusual width; ``rejected``: combinations that don't look valid, which are
+    stored with their count and the last line they are on; ``unparsed``: tokens without features that parse."""
+
+    width_errors: DataFrame
+    rejected: int
+    unparsed: int
+
+
 def attribute_rows(tokens: DataFrame, attrs: Sequence[TokenAttr]) -> DataFrame:
     feats = feats_attr(attrs)
     raw = token_column(feats.idx) if feats else F.lit(None).cast("string")
-    return tokens.select(*[token_column(a.idx).alias(a.name) for a in plain_attrs(attrs)], raw.alias("__feats"))
+    return tokens.select(F.col("pos").alias("__line"), *[token_column(a.idx).alias(a.name) for a in plain_attrs(attrs)], raw.alias("__feats"))
 
 
 def import_livetokens(
@@ -29,19 +40,24 @@ def import_livetokens(
     files: Sequence[str] | None = None,
     keep_featless: bool = False,
     strict_numeric: bool = False,
-) -> DataFrame:
-    """Reads a vertical and replaces both tables; returns the token lines of unusual width.
+) -> ImportReport:
+    """Reads a vertical and replaces both tables, and that of rejected combinations.
 
     Structures do not matter here, nor does the order of lines.
     """
     names = [a.name for a in plain_attrs(attrs)]
     lines = read_lines(spark, resolve_paths(spark, file, files), target.corpus)
     tokens = token_lines(lines)
-    counted = lt.count_combinations(attribute_rows(tokens, attrs), names, "__feats", keep_featless=keep_featless)
     stages = Stages(spark)
     try:
-        valid = stages.keep(lt.valid_only(counted, names, strict_numeric))
+        raw = stages.keep(lt.raw_counts(attribute_rows(tokens, attrs), names, "__feats", "__line"))
+        counted = stages.keep(lt.parsed_counts(raw, names, "__feats", "__line", keep_featless))
+        valid = lt.valid_only(counted, names, strict_numeric)
         sink.write_livetokens(*lt.token_tables(valid, names), target)
+        rejected = counted.where(~lt.looks_valid(names, strict_numeric))
+        rejected = rejected.select(*names, "feats_key", "cnt", "last_line")
+        rejected.write.format(target.format).mode("overwrite").save(target.rejected)
+        unparsed = raw.where(lt.feat_sets(F.col("__feats")).isNull()).agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
+        return ImportReport(width_errors(tokens), sink.read(spark, target, target.rejected).count(), unparsed)
     finally:
         stages.drop()
-    return width_errors(tokens)

@@ -41,6 +41,10 @@ class Target:
     def feats(self) -> str:
         return self.path("livetokens_udfeats")
 
+    @property
+    def rejected(self) -> str:
+        return self.path("livetokens_rejected")
+
 
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -53,6 +53,9 @@ def test_item_ids(spark):
     }
     assert made == {"identity": ["cs12_a", None, None], "empty": ["", "", ""]}
     assert [r[0] for r in df.select(item_id("intercorp", [F.col("p")])).collect()] == ["12", None, None]
+    # Two characters go, not two bytes.
+    other = df.limit(1).select(item_id("intercorp", [F.lit("čs7é")]), item_id("intercorp", [F.lit("čs")])).first()
+    assert tuple(other) == ("7é", "")
     with pytest.raises(ValueError):
         item_id("nothing", [])
     register_item_id("upper", lambda args: F.upper(args[0]))

@@ -126,7 +126,10 @@ def test_import_and_search(spark, tmp_path):
                     "z\tADJ\tCase=Acc||Case=Gen\textra\n</s>\n")
     out = sink.Target(f"file:{tmp_path}/live", "c")
     attrs = [TokenAttr("form", 0), TokenAttr("pos", 1), TokenAttr("feats", 2, ud_feats=True)]
-    assert import_livetokens(spark, out, attrs, file=str(path)).count() == 1
+    report = import_livetokens(spark, out, attrs, file=str(path))
+    assert report.width_errors.count() == 1 and (report.rejected, report.unparsed) == (1, 1)
+    (refused,) = sink.read(spark, out, out.rejected).collect()
+    assert (refused["form"], refused["feats_key"], refused["cnt"], refused["last_line"]["seq"]) == ("y7", "A=1", 1, 4)
     tokens, feats = sink.read(spark, out, out.tokens), sink.read(spark, out, out.feats)
     # The last, partial batch is stored too.
     assert sorted((r["form"], r["cnt"]) for r in tokens.collect()) == [("w", 2), ("z", 1), ("z", 1)]
