@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -94,7 +94,7 @@ class Model:
         return scored(whole_text(text))
 
 
-@cache
+@lru_cache(maxsize=8)
 def _automaton(words: tuple[str, ...], exceptions: tuple[str, ...]):
     import ahocorasick
 
