@@ -19,7 +19,7 @@ from corpuslake.operators import units
 from corpuslake.plans import corpora as cp
 from corpuslake.plans.extraction import extract
 from corpuslake.sinks import tables as sink
-from corpuslake.sources.tables import corpus_sizes, with_token_offsets
+from corpuslake.sources.tables import corpus_sizes, text_lengths, with_token_offsets
 from corpuslake.sources.vertical import read_lines, resolve_paths, struct_events, token_column, token_lines
 from corpuslake.stages import Stages
 
@@ -46,26 +46,26 @@ def unigram_counts(spark, sf_dir):
     return counts.select("corpus_id", "col0", ngram_hash([F.col("col0")]).alias("hash_id"), "count")
 
 
-@query
-def bigram_arf(spark, sf_dir):
+def _bigram_arf(spark, sf_dir, **options):
     spec, rules = _rules(VertColumn(0, "", "lemma"), size=2)
     texts = cp.document_tokens(spark, sf_dir)
-    sizes = corpus_sizes(texts, ["corpus_id"], F.size("tokens"))
-    placed = sizes.attach(with_token_offsets(texts, cp.TEXT_ORDER), ["doc_id"])
+    lengths = Stages(spark).keep(text_lengths(texts, cp.TEXT_ORDER))
+    sizes = corpus_sizes(lengths, ["corpus_id"], F.col("n"))
+    placed = sizes.attach(with_token_offsets(texts, cp.TEXT_ORDER, lengths), ["doc_id"])
     occurrences = ng.from_arrays(placed, 2, rules, ["corpus_id", "corpus_size"], base="base")
-    return ng.frequency_table(ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total("corpus_size")), spec)
+    counts = ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total("corpus_size"), **options)
+    return ng.frequency_table(counts, spec)
+
+
+@query
+def bigram_arf(spark, sf_dir):
+    return _bigram_arf(spark, sf_dir)
 
 
 @query
 def bigram_arf_hot(spark, sf_dir):
     """The same with n-grams split that one sort of a large corpus could not hold."""
-    spec, rules = _rules(VertColumn(0, "", "lemma"), size=2)
-    texts = cp.document_tokens(spark, sf_dir)
-    sizes = corpus_sizes(texts, ["corpus_id"], F.size("tokens"))
-    placed = sizes.attach(with_token_offsets(texts, cp.TEXT_ORDER), ["doc_id"])
-    occurrences = ng.from_arrays(placed, 2, rules, ["corpus_id", "corpus_size"], base="base")
-    counts = ng.count_with_arf(occurrences, ["corpus_id", "col0"], sizes.total("corpus_size"), hot_run=200)
-    return ng.frequency_table(counts, spec)
+    return _bigram_arf(spark, sf_dir, hot_run=200)
 
 
 @query

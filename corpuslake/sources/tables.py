@@ -73,13 +73,18 @@ def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column, at_most: in
     return PerCorpus.of(df, keys, at_most, corpus_size=F.coalesce(F.sum(tokens), F.lit(0)).cast("long"))
 
 
-def with_token_offsets(texts: DataFrame, order: Order, tokens: str = "tokens") -> DataFrame:
+def text_lengths(texts: DataFrame, order: Order, tokens: str = "tokens") -> DataFrame:
+    """(corpus, chunk, id, ``n``) rows: what sizes and offsets are made of, so stored they spare passes over the texts."""
+    return texts.select(*order.place, F.size(tokens).cast("long").alias("n"))
+
+
+def with_token_offsets(texts: DataFrame, order: Order, lengths: DataFrame | None = None) -> DataFrame:
     """Add ``base``, the tokens of the corpus before this text.
 
-    Only (corpus, chunk, id, length) rows are scanned; ``order.within`` must identify a text in its chunk.
+    Only ``text_lengths`` are scanned; ``order.within`` must identify a text in its chunk.
     """
     ids = order.place
-    lengths = texts.select(*ids, F.size(tokens).cast("long").alias("__n"))
+    lengths = (text_lengths(texts, order) if lengths is None else lengths).withColumnRenamed("n", "__n")
     based = scan(lengths, order, {"base": F.col("__n")}, before=["base"])
     based = based.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(ids)], "base")
     joined = texts.join(based, same([F.col(c) for c in ids], [F.col(f"__k{i}") for i in range(len(ids))]))
