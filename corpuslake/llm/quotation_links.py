@@ -66,20 +66,23 @@ _PARSED = pa.schema([("level", pa.int32()), ("key", pa.binary())])
 
 
 def _threads(answers: DataFrame, stages: Stages) -> DataFrame:
-    """``scope, message, root, level`` of each message that answers another, by doubling: a round halves the way to the root."""
-    now = stages.keep(answers.select("scope", "message", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("level")))
-    while True:
-        up = now.select("scope", F.col("message").alias("root"), F.col("root").alias("far"), F.col("level").alias("more"))
-        moved = now.join(up, ["scope", "root"], "left").select(
-            "scope",
-            "message",
-            F.coalesce("far", "root").alias("root"),
-            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"),
-            F.col("far").isNotNull().alias("moved"),
+    """``scope, message, root, level`` of each message that answers another, by doubling: a round halves the way to the root.
+
+    Only messages that are not at their root yet take part in a round, so that short threads are done after a few.
+    """
+    at = answers.select("scope", F.col("message").alias("root"), F.lit(True).alias("goes_on"))
+    now = answers.select("scope", "message", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("level"))
+    now = stages.keep(now.join(at, ["scope", "root"], "left").withColumn("goes_on", F.coalesce("goes_on", F.lit(False))))
+    while not now.where("goes_on").isEmpty():
+        up = now.select(
+            "scope", F.col("message").alias("root"), F.col("root").alias("far"), F.col("level").alias("more"),
+            F.col("goes_on").alias("then"),
+        )
+        moved = now.where("goes_on").join(up, ["scope", "root"]).select(
+            "scope", F.col("far").alias("root"), "message", (F.col("level") + F.col("more")).alias("level"), F.col("then").alias("goes_on")
         )
-        now = stages.keep(moved)
-        if now.where("moved").isEmpty():
-            return now.drop("moved")
+        now = stages.keep(now.where("not goes_on").unionByName(moved))
+    return now.drop("goes_on")
 
 
 def link_quotations(
