@@ -46,7 +46,8 @@ class PerCorpus:
     few: bool
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], at_most: int = FEW_CORPORA, **values: Column) -> PerCorpus:
+    def of(cls, df: DataFrame, keys: Sequence[str], at_most: int | None = None, **values: Column) -> PerCorpus:
+        at_most = FEW_CORPORA if at_most is None else at_most
         made = df.groupBy(*keys).agg(*[e.alias(n) for n, e in values.items()])
         rows = made.limit(at_most + 1).collect()
         few = len(rows) <= at_most
@@ -68,7 +69,7 @@ class PerCorpus:
         return self.table.agg(F.sum(value)).first()[0] or 0
 
 
-def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column, at_most: int = FEW_CORPORA) -> PerCorpus:
+def corpus_sizes(df: DataFrame, keys: Sequence[str], tokens: Column, at_most: int | None = None) -> PerCorpus:
     """``corpus_size``: the sum of ``tokens`` per corpus."""
     return PerCorpus.of(df, keys, at_most, corpus_size=F.coalesce(F.sum(tokens), F.lit(0)).cast("long"))
 
