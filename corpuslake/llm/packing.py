@@ -40,6 +40,12 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def encoder(path: str) -> WordEncoder:
+    """One for all tasks of a process, so that later tasks find the words of earlier ones."""
+    return WordEncoder(path)
+
+
 class WordEncoder:
     """Ids of texts by a byte-level tokenizer, each distinct word encoded once.
 
@@ -283,13 +289,13 @@ def _cut(path: str, window: int, end_id: int):
     """Documents to full windows and rests, each with its rank among those of its length in the task."""
 
     def cut(batches):
-        encoder, part = WordEncoder(path), TaskContext.get().partitionId()
+        words, part = encoder(path), TaskContext.get().partitionId()
         ranks = [0] * (window + 1)
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
                 columns = [[] for _ in range(7)]
-                found = encoder.encode(some.column("text").to_pylist())
+                found = words.encode(some.column("text").to_pylist())
                 for doc, ids in zip(some.column("doc_id").to_pylist(), found, strict=True):
                     ids = np.append(ids, np.uint32(end_id))
                     for start in range(0, len(ids), window):
