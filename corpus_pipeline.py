@@ -30,7 +30,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document that keeps no line stays with an empty text."""
-    found = line_dedup.dedup_lines(docs.select(*_COLUMNS))
+    found = line_dedup.dedup_lines(docs.select(*_COLUMNS), Stages(spark))
     flat = found.select("row.doc_id", F.col("kept_text").alias("text"), "row.lang", "row.source", F.lit(0).alias("n_chars"))
     return _with_text(flat, F.col("text"))
 

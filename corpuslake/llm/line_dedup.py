@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslake.llm.common import BLANKS, ascii_lower, let, lines_of, up_to, whole_text
+from corpuslake.stages import Stages
 
 
 def line_key(line: Column) -> Column:
@@ -27,7 +28,12 @@ def shared_lines(rows: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFr
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3
+    docs: DataFrame,
+    stages: Stages,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_chars: int = 20,
+    min_docs: int = 3,
 ) -> DataFrame:
     """``row`` (all columns of the input), ``kept_text``, ``n_lines`` (before dropping) and ``n_dropped`` per input row.
 
@@ -42,7 +48,8 @@ def dedup_lines(
         F.struct("*").alias("row"), F.col(doc_id).alias("id"), whole_text(F.col(text)).alias("body")
     ).withColumn("sig", F.xxhash64("body"))
     places, shared = shared_lines(rows, min_chars, min_docs)
-    lost = places.join(shared, "key").where(~F.col("id").eqNullSafe(F.col("keeper")))
+    # Written, so that the join has a plain shuffle on both sides, and Spark can split what one frequent line brings.
+    lost = places.join(stages.keep(shared), "key").where(~F.col("id").eqNullSafe(F.col("keeper")))
     lost = lost.groupBy("id", "sig").agg(F.collect_set("pos").alias("lost"))
     lost = lost.select(F.col("id").alias("lost_id"), F.col("sig").alias("lost_sig"), "lost")
     joined = rows.join(

@@ -52,7 +52,7 @@ def op3_secrets(spark, sf_dir):
 @query
 def op4_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs).select(
+    return line_dedup.dedup_lines(docs, Stages(spark)).select(
         "row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
 

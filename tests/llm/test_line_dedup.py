@@ -2,6 +2,7 @@ import collections
 import random
 
 from corpuslake.llm.line_dedup import dedup_lines
+from corpuslake.stages import Stages
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -37,7 +38,7 @@ def test_equals_brute_force(spark):
         rows.append((i, "\n".join(lines)))
     rows += [(70, None), (71, ""), (72, "\n\n"), (None, shared[0] + "\nx"), (5, rows[5][1]), (5, shared[1]), (80, "y" * 200_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [(str(r.row.doc_id), r.kept_text, r.n_lines, r.n_dropped) for r in dedup_lines(df).collect()]
+    got = [(str(r.row.doc_id), r.kept_text, r.n_lines, r.n_dropped) for r in dedup_lines(df, Stages(spark)).collect()]
     assert sorted(got) == brute(rows)
     assert sum(r[3] for r in got) > 20
 
@@ -45,7 +46,7 @@ def test_equals_brute_force(spark):
 def test_many_lines_and_clashing_columns(spark):
     text = "\n".join(f"a line that every document has, {i}" for i in range(3000))
     df = spark.createDataFrame([(i, text, 7, "k") for i in range(4)], "doc_id long, text string, n_lines int, lost string")
-    got = {r.row.doc_id: r for r in dedup_lines(df).collect()}
+    got = {r.row.doc_id: r for r in dedup_lines(df, Stages(spark)).collect()}
     assert [got[i].n_dropped for i in range(4)] == [3000, 3000, 3000, 0]
     assert got[3].kept_text == text and got[0].kept_text == "" and got[0].row.n_lines == 7
-    assert dedup_lines(df.limit(0)).collect() == []
+    assert dedup_lines(df.limit(0), Stages(spark)).collect() == []
