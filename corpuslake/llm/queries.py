@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -22,7 +21,7 @@ from corpuslake.llm import (
     warc,
 )
 from corpuslake.llm.common import let, table
-from corpuslake.stages import Stages, shared_folder
+from corpuslake.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,8 +84,9 @@ def op1_packing(spark, sf_dir):
 
 @query
 def op9_warc(spark, sf_dir):
-    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
-    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    stages = Stages(spark)
+    folder = stages.folder()
+    warc.write_warc(table(spark, sf_dir, "pages"), folder, stages)
     return warc.read_warc(spark, folder).drop("url", "payload")
 
 

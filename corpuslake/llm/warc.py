@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from corpuslake.llm.common import whole_text
+from corpuslake.stages import Stages
 
 _VERSION = "WARC/1.1"
 _SAME = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -172,6 +173,7 @@ def bounds_of(rows: DataFrame, size: Column, shard_bytes: int, most_shards: int)
 def write_warc(
     pages: DataFrame,
     folder: str,
+    stages: Stages,
     page_id: str = "page_id",
     url: str = "url",
     payload: str = "html",
@@ -195,7 +197,8 @@ def write_warc(
     rows = rows.withColumn("sha", F.unhex(F.sha1(F.col("body").cast("binary")))).withColumn("size", F.octet_length("body"))
     ids = rows.where(F.col("page_id").isNotNull() & (F.col("size") >= least_bytes)).select("page_id", "sha", "size")
     keepers = ids.groupBy("sha", "size").agg(F.max("page_id").alias("keeper"), F.min("page_id").alias("least"))
-    keepers = keepers.where(F.col("keeper") != F.col("least"))
+    # Written, so that the join has a plain shuffle on both sides, and Spark can split what one payload brings.
+    keepers = stages.keep(keepers.where(F.col("keeper") != F.col("least")))
     decided = ids.join(keepers, ["sha", "size"]).where(F.col("page_id") != F.col("keeper")).distinct()
 
     starts = bounds_of(rows, F.col("size"), shard_bytes, most_shards)
@@ -213,7 +216,7 @@ def write_warc(
     both = body.union(
         decided.select("page_id", "sha", F.lit(0).alias("kind"), "keeper", none.cast("string"), none.cast("string"))
     ).withColumn("shard", shard(F.coalesce("page_id", F.lit(-(1 << 63)))))
-    both = both.repartition(len(starts) + 1, "shard").sortWithinPartitions("shard", "page_id", "sha", "kind", "url")
+    both = both.repartitionById(len(starts) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "sha", "kind", "url")
     manifest = f"{folder}/_temporary/manifest"
     both.mapInArrow(_written(folder, file_bytes, date), _MANIFEST_SQL).write.parquet(manifest)
     rows = spark.read.schema(_MANIFEST_SQL).parquet(manifest).mapInPandas(_committed(folder), _MANIFEST_SQL)

@@ -6,6 +6,7 @@ import pathlib
 import pytest
 
 from corpuslake.llm import warc
+from corpuslake.stages import Stages
 
 PAGES = [
     (1, "http://a/1", "<p>x</p>"),
@@ -43,7 +44,7 @@ def want(rows, least):
 def test_round_trip(spark, tmp_path, least):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(3)
     folder = (tmp_path / "out").as_uri()
-    warc.write_warc(df, folder, least_bytes=least, file_bytes=600, shard_bytes=64)
+    warc.write_warc(df, folder, Stages(spark), least_bytes=least, file_bytes=600, shard_bytes=64)
     got = warc.read_warc(spark, folder).collect()
     rows = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got]
     assert sorted(rows, key=str) == want(PAGES, least)
@@ -56,7 +57,7 @@ def test_payloads_survive_and_files_are_the_same_again(spark, tmp_path):
     made = []
     for k, n in enumerate((1, 4)):
         folder = tmp_path / f"out{k}"
-        warc.write_warc(df.repartition(n), folder.as_uri(), shard_bytes=64)
+        warc.write_warc(df.repartition(n), folder.as_uri(), Stages(spark), shard_bytes=64)
         made.append({p.name: p.read_bytes() for p in sorted(folder.glob("*.gz"))})
     assert made[0] == made[1]
     got = {(r.page_id, r.payload) for r in warc.read_warc(spark, folder.as_uri(), with_payload=True).collect() if r.payload}
@@ -67,8 +68,8 @@ def test_payloads_survive_and_files_are_the_same_again(spark, tmp_path):
 
 def test_empty_table_and_clashing_columns(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "h", 3)], "page_id long, url string, html string, sha int")
-    assert warc.write_warc(df, (tmp_path / "a").as_uri()).count() == 1
-    warc.write_warc(df.limit(0), (tmp_path / "b").as_uri())
+    assert warc.write_warc(df, (tmp_path / "a").as_uri(), Stages(spark)).count() == 1
+    warc.write_warc(df.limit(0), (tmp_path / "b").as_uri(), Stages(spark))
     assert warc.read_warc(spark, (tmp_path / "b").as_uri()).collect() == []
     assert not list(pathlib.Path(tmp_path / "b").glob("*.gz"))
 
