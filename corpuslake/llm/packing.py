@@ -54,7 +54,7 @@ class WordEncoder:
     then it starts anew. Other texts are encoded as they are.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         self._tokenizer = tokenizer(path)
         self._most = most
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
