@@ -73,17 +73,28 @@ def running(values: Column, combine: Callable[[Column, Column], Column]) -> Colu
     return let(values, lambda v: F.when(F.size(v) == 0, none).otherwise(let(blocks(v), joined)))
 
 
-def connected(edges: DataFrame, stages: Stages) -> DataFrame:
+def connected(edges: DataFrame, stages: Stages, hot: int = 100_000) -> DataFrame:
     """``node, root`` for every node of ``edges`` (bigints a, b): the smallest node that links reach from it.
 
     Large-star and small-star steps in turn, each an aggregation and a join; the edges are written after each
     round. Rounds grow with the logarithm of the longest path. No edges: no rows.
+
+    A node with over ``hot`` neighbours (or over a 1/100,000 share of all, so that there are few of them) gets its smallest
+    neighbour by a broadcast, so that its edges stay where they are.
     """
 
-    def towards_smallest(pairs: DataFrame, own: bool) -> DataFrame:
+    def towards_smallest(pairs: DataFrame, own: bool, limit: int | None) -> DataFrame:
         """Each pair's ``v`` is tied to the smallest neighbour of ``u`` (or ``u`` itself)."""
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        tied = pairs.join(least, "u")
+        least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = least.select("u", F.least("u", "m").alias("m"), "n")
+        if limit is None:
+            tied = pairs.join(least, "u")
+        else:
+            # Fewer than 200,000 rows, by the choice of the limit.
+            few = F.broadcast(least.where(F.col("n") > limit).select("u", F.col("m").alias("hot_m")))
+            told = pairs.join(few, "u", "left")
+            rest = told.where("hot_m is null").join(least, "u").select("u", "v", "m")
+            tied = told.where("hot_m is not null").select("u", "v", F.col("hot_m").alias("m")).union(rest)
         if own:
             return tied.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
         return tied.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -93,19 +104,20 @@ def connected(edges: DataFrame, stages: Stages) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    mark = None
+    n, mark = now.count(), None
     while True:
+        limit = max(hot, n // 50_000) if n > hot else None
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        large = towards_smallest(both, own=False)
+        large = towards_smallest(both, False, limit)
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        small = towards_smallest(down, own=True).where(F.col("a") != F.col("b")).distinct()
+        small = towards_smallest(down, True, limit).where(F.col("a") != F.col("b")).distinct()
         now = stages.keep(small)
         found = now.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
         ).first()
         if mark == found:
             break
-        mark = found
+        n, mark = found["n"], found
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         roots.select("node", F.col("node").alias("root"))
