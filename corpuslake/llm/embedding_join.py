@@ -240,6 +240,8 @@ def cosine_links(
         .select("h", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("c"))
         .withColumn("ok", F.lit(True))
     )
+    # Written, so that the last join has a plain shuffle on both sides, and Spark can split what one vector brings.
+    made = stages.keep(made)
     component = F.coalesce("c", "vec_id")
     return rows.drop("vector").join(made, ["h", "h2", "ok"], "left").select(
         "vec_id",
