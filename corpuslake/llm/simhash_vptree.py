@@ -315,7 +315,8 @@ def simhash_classes(
     joined = connected(links, stages)
     same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
     member = classes.alias("c").join(joined.alias("j"), F.col("c.rep") == F.col("j.node"), "left")
-    member = member.select("c.*", F.coalesce("j.root", "c.rep").alias("component_id"))
+    # Written, so that the last join has a plain shuffle on both sides, and Spark can split what one fingerprint brings.
+    member = stages.keep(member.select("c.*", F.coalesce("j.root", "c.rep").alias("component_id")))
     on = same[0]
     for s in same[1:]:
         on = on & s
