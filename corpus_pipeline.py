@@ -38,8 +38,8 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group whose sets of five-word shingles have a similarity of 0.8 or more.
 
-    At that similarity fingerprints differ in up to 13 bits, which link candidates; sketches of the sets decide. Rows
-    without an id stay, and so do all rows of an id that stays.
+    The sets themselves decide. Most pairs are found through fingerprints that differ in up to 13 bits, the others by prefixes
+    of the sets. Rows without an id stay, and so do all rows of an id that stays.
     """
     found = simhash_vptree.simhash_classes(docs, Stages(spark), shingle=5, distance=13, similarity=0.8)
     gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()

@@ -6,8 +6,11 @@ others the other way. Two fingerprints that differ in at most r bits have distan
 of the median, and a guest follows both ways where it must. Each leaf is a shard that is searched on its own, by a tree of its own
 vantage points.
 
-With a ``similarity``, links are also tested on sketches of the sets of shingles; the sets' sizes then are a second
-distance (their logarithms differ by at most -log similarity), which a node may cut by.
+With a ``similarity``, exactly the pairs whose sets of shingles have that Jaccard similarity link. The tree proposes pairs
+by bits and sketches (the sets' sizes then are a second distance: their logarithms differ by at most -log similarity, which a
+node may cut by), and the sets decide. What bits and sketches miss is found by prefixes: in any one order of all shingles,
+two sets of that similarity share one of their first n - ceil(similarity n) + 1. Shingles that are frequent in a sample come
+last in that order, which makes shared ones rare and is of no effect on the result.
 """
 
 from __future__ import annotations
@@ -16,9 +19,10 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -30,6 +34,7 @@ SKETCH = 256  # bins of a sketch
 _CHUNK = 1 << 15  # shingles whose bits are counted at once
 _TILE = 1 << 20  # pairs compared at once
 _SMALL = 64  # members of a branch that is not cut further
+_EPS = 1e-9  # so that products such as 0.8 * 5 don't exceed the whole number they stand for
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -66,6 +71,21 @@ def sketch(hashes: np.ndarray) -> tuple[int, bytes]:
     return len(distinct), out.tobytes()
 
 
+def prefix(distinct: np.ndarray, similarity: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, of which any set of that similarity has at least one among its own first ones.
+
+    ``common`` (ascending) come last, by how ``often`` they occur.
+    """
+    n = len(distinct)
+    if not n:
+        return distinct
+    weight = np.zeros(n, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, distinct), len(common) - 1)
+        weight = np.where(common[at] == distinct, often[at], 0)
+    return distinct[np.lexsort((distinct, weight))][: n - math.ceil(similarity * n - _EPS) + 1]
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated Jaccard similarity of the sets behind rows of two arrays of sketches."""
     some = ((a > 0) | (b > 0)).sum(axis=1)
@@ -215,7 +235,7 @@ def _dealt(top):
 
 
 def _linked(distance: int, similarity: float | None, band: float | None):
-    """Links of a shard, as the edges that tie each member to its class's root."""
+    """Links of a shard: the edges that tie each member to its class's root or, with a similarity, pairs that were tested."""
 
     def link(shard: pa.Table) -> pa.Table:
         fps = shard.column("fp").to_numpy().view(np.uint64)
@@ -230,7 +250,7 @@ def _linked(distance: int, similarity: float | None, band: float | None):
         own = np.flatnonzero(side == _OWN)
         whole = not (side == _OTHER).any() and (shard.column("i")[0].as_py() == shard.column("j")[0].as_py())
         others = np.arange(len(fps)) if whole else np.flatnonzero(side != _OWN)
-        parent = np.arange(len(fps))
+        parent, tested = np.arange(len(fps)), []
 
         def found(i, j):
             if similarity is None:
@@ -241,9 +261,20 @@ def _linked(distance: int, similarity: float | None, band: float | None):
                 apart = roots(parent)[a] != parent[b]  # classes already joined need no test
                 a, b = a[apart], b[apart]
                 good = alike(marks[a], marks[b]) >= similarity
-                unite(parent, a[good], b[good])
+                for x, y in zip(a[good].tolist(), b[good].tolist(), strict=True):
+                    top = []
+                    for z in (x, y):
+                        while parent[z] != z:
+                            parent[z] = z = parent[parent[z]]
+                        top.append(z)
+                    if top[0] != top[1]:
+                        parent[max(top)] = min(top)
+                        tested.append((x, y))
 
         search(fps, sizes, own, others, distance, band, found)
+        if similarity is not None:
+            pairs = np.array(tested, np.int64).reshape(-1, 2)
+            return pa.table([pa.array(rep[pairs[:, 0]]), pa.array(rep[pairs[:, 1]])], schema=_LINK)
         roots(parent)
         tied = np.flatnonzero((parent != np.arange(len(fps))) & (rep != rep[parent]))
         return pa.table([pa.array(rep[tied]), pa.array(rep[parent[tied]])], schema=_LINK)
@@ -260,6 +291,59 @@ class VantageTree:
     leaf_rows: int = 1 << 12
     block_rows: int = 1 << 21
     most_copies: float = 8.0
+    common: int = 200_000
+
+
+def frequent(docs: DataFrame, shingle: int, bounds: VantageTree) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that at least three of about ``bounds.sample`` texts have (the ``bounds.common`` most frequent), and how many."""
+    step = max(1, -(-docs.count() // bounds.sample))
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
+    counts = some.select(F.explode(hash_set(shingle)("text")).alias("h")).groupBy("h").count().where("count >= 3")
+    found = counts.orderBy(F.desc("count"), "h").limit(bounds.common).toPandas()
+    h, n = found["h"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def hash_set(shingle: int):
+    @pandas_udf("array<long>")
+    def hashed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: np.unique(shingle_hashes(t, shingle)).view(np.int64))
+
+    return hashed
+
+
+def similar(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, stages: Stages) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose texts' sets of shingles have at least the Jaccard similarity."""
+    pairs = stages.keep(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    wanted = stages.keep(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    sets = docs.join(wanted, "doc_id").select("doc_id", hash_set(shingle)("text").alias("s"))
+    sets = stages.keep(sets.distinct())
+    x, y = (sets.select(F.col("doc_id").alias(k), F.col("s").alias(s)) for k, s in (("a", "x"), ("b", "y")))
+    both = F.size(F.array_intersect("x", "y")).alias("both")
+    tested = pairs.join(x, "a").join(y, "b").select("a", "b", (F.size("x") + F.size("y")).alias("n"), both)
+    return stages.keep(tested.where(F.when(F.col("both") > 0, F.col("both") / (F.col("n") - F.col("both"))) >= similarity)
+                       .select("a", "b").distinct())
+
+
+def untold(classes: DataFrame, joined: DataFrame, similarity: float, stages: Stages) -> DataFrame:
+    """Pairs ``a, b`` of classes of different components that may have the similarity, by their prefixes.
+
+    Of the first shingle two sets share, what follows it in either bounds what else they share.
+    """
+    rows = classes.select("rep", "size", "prefix").join(joined, F.col("rep") == F.col("node"), "left")
+    rows = rows.select("rep", F.coalesce("root", "rep").alias("root"), "size", F.posexplode("prefix").alias("pos", "h"))
+    by = Window.partitionBy("h")
+    rows = rows.select("*", F.min("root").over(by).alias("lo"), F.max("root").over(by).alias("hi")).where("lo < hi")
+    rows = stages.keep(rows.select("h", "rep", "root", "size", "pos"))
+    l, r = rows.alias("l"), rows.alias("r")
+    small, large = F.least("l.size", "r.size"), F.greatest("l.size", "r.size")
+    rest = F.least(F.col("l.size") - F.col("l.pos"), F.col("r.size") - F.col("r.pos"))
+    fit = (small >= F.lit(similarity) * large - _EPS) & (
+        rest >= F.lit(similarity / (1 + similarity)) * (F.col("l.size") + F.col("r.size")) - 1e-6
+    )
+    on = (F.col("l.h") == F.col("r.h")) & (F.col("l.root") < F.col("r.root")) & fit
+    return l.join(r, on).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
 
 
 def simhash_classes(
@@ -274,8 +358,9 @@ def simhash_classes(
 ) -> DataFrame:
     """``doc_id, fingerprint`` (bigint)``, component_id`` (the smallest doc_id that links reach) for every row.
 
-    Equal fingerprints are one class (with ``similarity``: equal sketches too) and are never paired with each other; classes link at
-    ``distance`` or fewer differing bits and, if given, an estimated Jaccard ``similarity`` of the sets of shingles.
+    Equal fingerprints are one class and are never paired with each other; classes link at ``distance`` or fewer differing
+    bits. With a ``similarity``, equal sets of shingles (hashes of 128 bits) are one class, and classes link if the Jaccard
+    similarity of the sets is at least that, at whatever distance; bits and sketches then only find most links sooner.
 
     Null and empty texts have the fingerprint 0 and link like others. Rows without a doc_id take the component of their class; a class
     of only such rows is linked with none and its component is null. Repeated rows and ids are rows of one class. An
@@ -283,22 +368,30 @@ def simhash_classes(
     """
     with_sketch = similarity is not None
 
-    @pandas_udf("fp long, size int, sketch binary")
-    def printed(texts):
-        import pandas as pd
+    docs = docs.select(F.col(doc_id).alias("doc_id"), whole_text(F.col(text)).alias("text"))
+    common, often = frequent(docs, shingle, bounds) if with_sketch else (None, None)
 
+    @pandas_udf("fp long, size int, sketch binary, own binary, prefix array<long>")
+    def printed(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             h = shingle_hashes(t, shingle)
-            rows.append((fingerprint(h), *(sketch(h) if with_sketch else (0, b""))))
-        return pd.DataFrame(rows, columns=["fp", "size", "sketch"])
-
-    prints = docs.select(F.col(doc_id).alias("doc_id"), whole_text(F.col(text)).alias("text"))
-    prints = stages.keep(prints.select("doc_id", printed("text").alias("p")).select("doc_id", "p.*"))
-    key = ["fp", "size", "sketch"] if with_sketch else ["fp"]
-    rest = {"size": F.lit(0), "sketch": F.lit(b"")}
-    classes = prints.groupBy(*key).agg(F.min("doc_id").alias("rep")).where(F.col("rep").isNotNull())
-    classes = stages.keep(classes.select("rep", "fp", *[F.col(c) if c in key else v.alias(c) for c, v in rest.items()]))
+            if not with_sketch:
+                rows.append((fingerprint(h), 0, b"", b"", None))
+                continue
+            distinct = np.unique(h)
+            first = prefix(distinct, similarity, common, often).view(np.int64)
+            rows.append((fingerprint(h), *sketch(h), xxhash.xxh3_128_digest(distinct.tobytes()), first))
+        return pd.DataFrame(rows, columns=["fp", "size", "sketch", "own", "prefix"])
+
+    key, rest = ("own", ["fp", "size", "sketch", "prefix"]) if with_sketch else ("fp", [])
+    prints = docs.select("doc_id", printed("text").alias("p")).select("doc_id", "p.*")
+    prints = stages.keep(prints.select("doc_id", *dict.fromkeys(["fp", key, *rest])))
+    classes = prints.groupBy(key).agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in rest])
+    classes = classes.where(F.col("rep").isNotNull())
+    if not with_sketch:
+        classes = classes.select("*", F.lit(0).alias("size"), F.lit(b"").alias("sketch"))
+    classes = stages.keep(classes)
 
     n = classes.count()
     step = max(1, -(-n // bounds.sample))
@@ -310,16 +403,17 @@ def simhash_classes(
         taken["fp"].to_numpy(np.int64).view(np.uint64), _log(taken["size"].to_numpy(np.int64)), n / max(1, len(taken)),
         distance, band, bounds.leaf_rows, block_rows, bounds.most_copies,
     )
-    shards = classes.mapInArrow(_dealt(top), _SHARD_SQL)
+    shards = classes.select("rep", "fp", "size", "sketch").mapInArrow(_dealt(top), _SHARD_SQL)
     links = shards.groupBy("leaf", "i", "j").applyInArrow(_linked(distance, similarity, band), "a long, b long")
+    if with_sketch:
+        links = similar(links, docs, shingle, similarity, stages)
+        pairs = untold(classes, connected(links, stages), similarity, stages)
+        links = links.union(similar(pairs, docs, shingle, similarity, stages))
     joined = connected(links, stages)
-    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
     member = classes.alias("c").join(joined.alias("j"), F.col("c.rep") == F.col("j.node"), "left")
     # Written, so that the last join has a plain shuffle on both sides, and Spark can split what one fingerprint brings.
-    member = stages.keep(member.select("c.*", F.coalesce("j.root", "c.rep").alias("component_id")))
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
+    member = stages.keep(member.select(f"c.{key}", F.coalesce("j.root", "c.rep").alias("component_id")))
+    on = F.col(f"c.{key}").eqNullSafe(F.col(f"p.{key}"))
     return prints.alias("p").join(member.alias("c"), on, "left").select(
         "p.doc_id", F.col("p.fp").alias("fingerprint"), "c.component_id"
     )
