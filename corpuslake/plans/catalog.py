@@ -413,6 +413,38 @@ def sink_frequencies(spark, sf_dir):
     return sink.read(spark, target, target.frequencies)
 
 
+def _all_corpora(spark, sf_dir):
+    # One row per corpus of the table.
+    return [r[0] for r in cp.documents(spark, sf_dir).select("corpus_id").distinct().orderBy("corpus_id").collect()]
+
+
+@query
+def sink_units_all(spark, sf_dir):
+    """``sink_units`` over every corpus of the table: the first created, the others appended, the last in a moving window."""
+    stages, corpora = Stages(spark), _all_corpora(spark, sf_dir)
+    root, spec = stages.folder(), StructureSpec({"doc": ["id", "date"]}, atom="doc")
+    for k, corpus in enumerate(corpora):
+        folder = _written_vertical(spark, sf_dir, stages, F.col("lang") == corpus)
+        files = resolve_paths(spark, file=folder, skip_hidden=True)
+        window = {"date_attr": "doc_date", "remove_before": "2020-06-01"} if 0 < k == len(corpora) - 1 else {}
+        extract(spark, sink.Target(root, corpus, group="both"), spec, files=files, **({"append": True} if k else {}), **window)
+    target = sink.Target(root, corpora[0], group="both")
+    return sink.read(spark, target, target.units).select("doc_id", "doc_date", "poscount", "wordcount", "corpus_id")
+
+
+@query
+def sink_frequencies_all(spark, sf_dir):
+    """``sink_frequencies`` over every corpus of the table."""
+    root, corpora = Stages(spark).folder(), _all_corpora(spark, sf_dir)
+    spec, rules = _rules(VertColumn(0, ""))
+    for k, corpus in enumerate(corpora):
+        target = sink.Target(root, corpus, group="both")
+        texts = cp.document_tokens(spark, sf_dir).where(F.col("corpus_id") == corpus)
+        counts = ng.count_ngrams(ng.from_arrays(texts, 1, rules), ["corpus_id", "col0"])
+        sink.write_frequencies(ng.frequency_table(counts, spec), target, append=k > 0)
+    return sink.read(spark, target, target.frequencies)
+
+
 @query
 def sink_livetokens(spark, sf_dir):
     target = sink.Target(Stages(spark).folder(), "documents")

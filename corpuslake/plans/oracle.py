@@ -281,6 +281,16 @@ WHERE corpus_id = 'fr' OR corpus_id = 'es' AND doc_date >= '2020-06-01'""",
 SELECT CASE WHEN strlen(word) <= 127 THEN word END AS col0, sha1(word) AS hash_id, count(*) AS "count",
        CAST(-1 AS DOUBLE) AS arf, false AS initial_cap, corpus_id, CAST('1' AS VARCHAR) AS ngram_size
 FROM toks WHERE corpus_id IN ('es', 'fr') GROUP BY corpus_id, word""",
+    "sink_units_all": f"""WITH {UNITS}, docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, {DAY} AS day FROM documents)
+SELECT doc_id, doc_date, poscount, wordcount, corpus_id FROM (
+  SELECT units.doc_id, day AS doc_date, CAST(sum(poscount) AS BIGINT) AS poscount, CAST(0 AS BIGINT) AS wordcount, corpus_id
+  FROM units JOIN docs ON units.doc_id = docs.id GROUP BY units.doc_id, day, corpus_id)
+WHERE corpus_id = (SELECT max(corpus_id) FROM units) OR doc_date >= '2020-06-01'""",
+    "sink_frequencies_all": f"""WITH {TOKENS}
+SELECT CASE WHEN strlen(word) <= 127 THEN word END AS col0, sha1(word) AS hash_id, count(*) AS "count",
+       CAST(-1 AS DOUBLE) AS arf, false AS initial_cap, corpus_id, CAST('1' AS VARCHAR) AS ngram_size
+FROM toks GROUP BY corpus_id, word""",
     "sink_livetokens": f"""WITH {LIVE} SELECT lemma, tag, cnt, feats_key AS udfeats FROM live""",
 }
 ORACLE_SQL["liveattrs_nested_errors"] = ORACLE_SQL["liveattrs_nested"]
