@@ -92,6 +92,30 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_words <= {r.max_lost}::DOUBLE * n_words AS kept FROM r"""
 
 
+def vector_codes_sql(vectors: str, parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """CTEs ending in ``last`` (vec_id, label, part, j, error) and ``book{rounds}`` (part, j, v)."""
+    out = f"""
+x AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor({scale} * c::DOUBLE)::BIGINT) AS v FROM {vectors}
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+p AS (SELECT vec_id, label, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS v
+      FROM x, (SELECT unnest(range({parts})) AS part)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS j FROM x ORDER BY vec_id LIMIT {entries}),
+book0 AS (SELECT part, j, v FROM p JOIN first USING (vec_id))"""
+    for r in range(rounds + 1):
+        name = "last" if r == rounds else f"own{r}"
+        out += f""",
+far{r} AS (SELECT p.vec_id, p.label, part, j, p.v AS v, list_sum(list_transform(range(1, len(p.v) + 1),
+             lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT AS error FROM p JOIN book{r} b USING (part)),
+{name} AS (SELECT * FROM far{r} QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY error, j) = 1)"""
+        if r < rounds:
+            out += f""",
+sums{r} AS (SELECT part, j, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM own{r}, (SELECT unnest(range(1, 4097)) AS i)
+           WHERE i <= len(v) GROUP BY part, j, i),
+book{r + 1} AS (SELECT part, j, coalesce(new.v, old.v) AS v FROM book{r} old LEFT JOIN
+           (SELECT part, j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM sums{r} GROUP BY part, j) new USING (part, j))"""
+    return out
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_secrets": f"""WITH {secret_spans_sql("documents")}
 SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
@@ -101,4 +125,11 @@ FROM d LEFT JOIN spans ON d.doc_id = spans.doc_id GROUP BY d.doc_id""",
     "op4_line_dedup": f"""WITH {line_dedup_sql("documents")}
 SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept""",
     "op6_quality_rules": _quality(),
+    "op13_vector_codes": f"""WITH {vector_codes_sql("embeddings")},
+codes AS (SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', j), '' ORDER BY part) AS code, sum(error)::BIGINT AS error
+          FROM last GROUP BY vec_id),
+labels_sum AS (SELECT label, sum(error)::BIGINT AS label_error FROM codes GROUP BY label),
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, j)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM codes JOIN labels_sum ON codes.label IS NOT DISTINCT FROM labels_sum.label, books""",
 }

@@ -18,6 +18,7 @@ from corpuslake.llm import (
     sentencepiece_codec,
     simhash_vptree,
     toxicity,
+    vector_codes,
     warc,
 )
 from corpuslake.llm.common import let, table
@@ -114,3 +115,12 @@ def op10_quotation_links(spark, sf_dir):
         F.col("scope").alias("conv_id"), F.col("message").alias("turn"), "n_quoted", "n_linked", "reply_to", "thread",
         "level", F.sha2("text", 256).alias("text_sha256"),
     )
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    codes, books, _ = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"), Stages(spark))
+    of_label = codes.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    found = codes.join(of_label, F.col("label").eqNullSafe(F.col("of")))
+    books_sha256 = F.sha2(F.lit(vector_codes.books_text(books)), 256)
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", books_sha256.alias("codebooks_sha256"))
