@@ -116,6 +116,33 @@ book{r + 1} AS (SELECT part, j, coalesce(new.v, old.v) AS v FROM book{r} old LEF
     return out
 
 
+def divergence_sql(docs: str, least: int = 30, smoothing: int = 5, scale: int = 1_000_000_000, top: int = 50) -> str:
+    def share(n, total):
+        return f"(1 + ({scale}::HUGEINT * ({n} + {smoothing})) // ({total} + {smoothing} * v.terms))::BIGINT"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM {docs}),
+w AS (SELECT doc_id, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), {_AZ}) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc_id) >= {least}),
+v AS (SELECT lang, count(kept.term) AS terms FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT d.lang, d.source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) d
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) s ON d.lang = s.lang AND d.source = s.source),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, {share("coalesce(n, 0)", "total")} AS p
+      FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+q AS (SELECT lang, term, {share("n", "total")} AS q FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term)
+      JOIN (SELECT lang, sum(total) AS total FROM g GROUP BY lang) USING (lang) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term)
+                     GROUP BY x.lang, x.source, y.source) s
+          ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+marked AS (SELECT p.lang, p.source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marked))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {top}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_secrets": f"""WITH {secret_spans_sql("documents")}
 SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
@@ -125,6 +152,7 @@ FROM d LEFT JOIN spans ON d.doc_id = spans.doc_id GROUP BY d.doc_id""",
     "op4_line_dedup": f"""WITH {line_dedup_sql("documents")}
 SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept""",
     "op6_quality_rules": _quality(),
+    "op12_source_divergence": divergence_sql("documents"),
     "op13_vector_codes": f"""WITH {vector_codes_sql("embeddings")},
 codes AS (SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', j), '' ORDER BY part) AS code, sum(error)::BIGINT AS error
           FROM last GROUP BY vec_id),

@@ -17,6 +17,7 @@ from corpuslake.llm import (
     secrets,
     sentencepiece_codec,
     simhash_vptree,
+    source_divergence,
     toxicity,
     vector_codes,
     warc,
@@ -124,3 +125,8 @@ def op13_vector_codes(spark, sf_dir):
     found = codes.join(of_label, F.col("label").eqNullSafe(F.col("of")))
     books_sha256 = F.sha2(F.lit(vector_codes.books_text(books)), 256)
     return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", books_sha256.alias("codebooks_sha256"))
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return source_divergence.divergence(table(spark, sf_dir, "documents"), Stages(spark))
