@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,31 @@ def up_to(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
+_LOWER_BYTES = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
+
+
+def words_of(texts: pa.Array, inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(the words of all texts in order with A-Z in lower case, the number of the text that each is in).
+
+    A word is a run of bytes that ``inside`` (256 booleans) marks. The texts hold no nulls.
+    """
+    texts = texts.cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.empty(0, np.uint8)
+    ends = ends - ends[0]
+    within = np.zeros(len(data) + 2, bool)
+    within[1:-1] = inside[data]
+    cut = np.zeros(len(data) + 1, bool)  # between two texts
+    cut[ends] = True
+    first = np.flatnonzero(within[1:-1] & (~within[:-2] | cut[:-1]))
+    last = np.flatnonzero(within[1:-1] & (~within[2:] | cut[1:]))
+    offsets = np.concatenate([[0], np.cumsum(last - first + 1)]).astype(np.int64)
+    packed = _LOWER_BYTES[data[within[1:-1]]]
+    words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+    return words, np.searchsorted(ends, first, side="right") - 1
+
+
 def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
     """What ``combine`` (a sum or a maximum of bigints from 0 up) makes of all values before each one.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpuslake.llm import (
     embedding_join,
     line_dedup,
+    maxent_lm,
     packing,
     quality,
     quotation_links,
@@ -127,6 +128,11 @@ def op13_vector_codes(spark, sf_dir):
     return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", books_sha256.alias("codebooks_sha256"))
 
 
+@query
+def op11_maxent_lm(spark, sf_dir):
+    return maxent_lm.score_documents(table(spark, sf_dir, "documents"), Stages(spark))
+
+
 @query
 def op12_source_divergence(spark, sf_dir):
     return source_divergence.divergence(table(spark, sf_dir, "documents"), Stages(spark))

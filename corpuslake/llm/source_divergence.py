@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslake.llm.common import whole_text
+from corpuslake.llm.common import whole_text, words_of
 from corpuslake.stages import Stages
 
 _END = b"\0"  # not part of any term
@@ -34,11 +34,8 @@ _CHUNK_SQL = (
     "lang string, sources array<string>, ids array<string>, terms array<binary>, starts array<long>, codes array<int>, "
     "counts array<int>"
 )
-#: Lower case of ASCII letters; 0 for what is no part of a term.
-_LETTERS = np.array(
-    [b if b >= 0x80 or chr(b) in "abcdefghijklmnopqrstuvwxyz" else ord(chr(b).lower()) if chr(b).isupper() else 0 for b in range(256)],
-    np.uint8,
-)
+#: Bytes that terms are made of: ASCII letters, and all of characters beyond ASCII.
+_LETTERS = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 
 
 @dataclass(frozen=True)
@@ -93,29 +90,9 @@ def key_hash(lang: str, key: bytes) -> int:
 # --- chunks of documents ----------------------------------------------------------------------
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(the terms of all texts in order, the number of the text that each is in)."""
-    texts = texts.cast(pa.large_binary())
-    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
-    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.empty(0, np.uint8)
-    ends = ends - ends[0]
-    lower = _LETTERS[data]
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = lower > 0
-    cut = np.zeros(len(data) + 1, bool)  # between two texts
-    cut[ends] = True
-    first = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
-    last = np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[1:]))
-    offsets = np.concatenate([[0], np.cumsum(last - first + 1)])
-    packed = lower[lower > 0]
-    words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(packed)])
-    return words, np.searchsorted(ends, first, side="right") - 1
-
-
 def _chunk(lang: str, sources: list, ids: list, texts: pa.Array) -> pa.RecordBatch:
     """``ids``: of documents whose id stands in several rows; null for all others."""
-    words, doc = words_of(texts)
+    words, doc = words_of(texts, _LETTERS)
     coded = words.dictionary_encode()
     order = pc.sort_indices(coded.dictionary).to_numpy()
     rank = np.empty(len(order), np.int64)

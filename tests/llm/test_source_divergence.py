@@ -93,10 +93,10 @@ def test_one_very_long_text_and_a_hot_id(spark):
 
 def test_words_of_whole_texts():
     texts = ["Ab c1d", "", "ÄB-ä\0x", "z", "z"]
-    words, doc = sd.words_of(pa.array(["skip", *texts])[1:])
+    words, doc = sd.words_of(pa.array(["skip", *texts])[1:], sd._LETTERS)
     want = [(k, w.encode()) for k, t in enumerate(texts) for w in terms_of(t)]
     assert list(zip(doc.tolist(), words.to_pylist(), strict=True)) == want
-    assert len(sd.words_of(pa.array([], pa.string()))[0]) == 0
+    assert len(sd.words_of(pa.array([], pa.string()), sd._LETTERS)[0]) == 0
 
 
 def test_bitmap_lets_all_of_its_hashes_through(spark):
