@@ -26,7 +26,7 @@ from corpuslake.llm.common import whole_text, words_of
 from corpuslake.stages import Stages
 
 _WORD = np.array([b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256)])
-_NEVER = np.float32(-1e4)  # logit of a place that no word has
+_NEVER = np.float32(-1e4)  # of a place that no word has
 _BLOCK = 256  # rows of weights that travel together
 
 
@@ -39,14 +39,15 @@ class Maxent:
     """
 
     classes: int = 32
-    places: int = 64
+    places: int = 32
     rows: int = 1 << 14
     added: float = 0.1
     told: int = 1 << 20
     rounds: int = 2
-    step: float = 0.1
-    batch: int = 1 << 13
+    step: float = 0.15
+    batch: int = 1 << 15
     chunk: int = 1 << 23  # bytes of text that a task cuts into words at once
+    piece: int = 1 << 18  # words that a task learns from or scores at once, but whole documents
 
 
 # --- words ------------------------------------------------------------------------------------
@@ -186,6 +187,7 @@ def known_words(counts: DataFrame, how: Maxent) -> Words:
         own_distinct[r["class"]] += 1
     rest = words - own + how.added * (distinct - own_distinct + 1)
     place[:, -1] = np.log(rest)
+    place -= np.log((words + how.added * (distinct + 1)))[:, None].astype(np.float32)
     by_class = words + how.added * (distinct + 1)
     return Words(
         int(words.sum()), int(distinct.sum()), np.array([r["code"] for r in heads], np.int64),
@@ -264,11 +266,16 @@ def examples(codes: np.ndarray, offsets: np.ndarray, places: Lookup, slot: np.nd
     return Examples(of, place, class_rows, place_rows)
 
 
-def _logits(bias: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = bias + weights[rows[0]]
+def _shares(bias: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The softmax over columns of ``bias`` (log-probabilities) and the sum of each word's rows of weights."""
+    out = np.take(weights, rows[0], axis=0)  # much faster than weights[rows[0]]
+    more = np.empty_like(out)
     for r in rows[1:]:
-        out += weights[r]
-    out -= out.max(axis=1, keepdims=True)
+        out += np.take(weights, r, axis=0, out=more, mode="clip")
+    out += bias
+    np.minimum(out, np.float32(60.0), out=out)
+    np.exp(out, out=out)
+    out /= (out @ np.ones(out.shape[1], np.float32))[:, None]
     return out
 
 
@@ -281,19 +288,30 @@ class _Level:
         self.seen = np.zeros(len(weights), np.int64)
 
     def learn(self, bias: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-        p = np.exp(_logits(bias, self.weights, rows))
-        p /= p.sum(axis=1, keepdims=True)
+        p = _shares(bias, self.weights, rows)
         p[np.arange(len(target)), target] -= 1
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        touched = ordered[first]
-        gradient = np.add.reduceat(p[order % len(target)], first, axis=0)
-        squares = self._squares[touched] + gradient * gradient
-        self._squares[touched] = squares
-        self.weights[touched] -= self._step * gradient / np.sqrt(squares)
-        self.seen[touched] += np.diff(np.append(first, len(flat)))
+        size, columns = self.weights.shape
+        gradient = np.zeros((columns, size))
+        for c, weight in enumerate(np.ascontiguousarray(p.T, np.float64)):
+            for r in rows:
+                gradient[c] += np.bincount(r, weights=weight, minlength=size)
+        # Rows that are not among these have a gradient of zero and stay.
+        step = np.ascontiguousarray(gradient.T, np.float32)
+        self._squares += step * step
+        step /= np.sqrt(self._squares)
+        step *= self._step
+        self.weights -= step
+        for r in rows:
+            self.seen += np.bincount(r, minlength=size)
+
+
+def _pieces(batches, words: int):
+    """The batches' rows, about so many words at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column("codes")).to_numpy(zero_copy_only=False), dtype=np.int64) // words
+        for p in np.unique(ends):
+            at, to = np.searchsorted(ends, [p, p + 1])
+            yield batch.slice(at, to - at)
 
 
 def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -309,17 +327,15 @@ def _trainer(words: Words, start: Weights, how: Maxent):
         places = Lookup(words.codes, how.classes.bit_length() - 1)
         classes, inner = _Level(start.by_class, how), _Level(start.by_place, how)
         rng = np.random.default_rng(0)
-        for batch in batches:
+        for batch in _pieces(batches, how.piece):
             codes, offsets = _documents(batch)
-            if not len(codes):
-                continue
             x = examples(codes, offsets, places, words.slot, how)
             order = rng.permutation(len(codes))
             for at in range(0, len(order), how.batch):
                 some = order[at : at + how.batch]
                 of = x.of[some]
-                classes.learn(words.class_bias, x.class_rows[:, some], of)
-                inner.learn(words.place_bias[of], x.place_rows[:, some], x.place[some])
+                classes.learn(words.class_bias, np.take(x.class_rows, some, axis=1), of)
+                inner.learn(np.take(words.place_bias, of, axis=0), np.take(x.place_rows, some, axis=1), x.place[some])
         for level, made in enumerate((classes, inner)):
             for b in range(0, how.rows, _BLOCK):
                 seen = made.seen[b : b + _BLOCK]
@@ -353,7 +369,7 @@ def _merge(key, table):
 
 
 def train(coded: DataFrame, words: Words, how: Maxent) -> Weights:
-    """One pass over the training documents, in ``how.rounds`` rounds. A task sends at most all rows of weights (6 MB by default)."""
+    """One pass over the training documents, in ``how.rounds`` rounds. A task sends at most all rows of weights (4 MB by default)."""
     now = Weights.none(how)
     for r in range(how.rounds):
         sent = coded.where(F.col("part") % how.rounds == r).select("codes").mapInArrow(
@@ -377,7 +393,7 @@ def _scorer(words: Words, weights: Weights, told, how: Maxent):
         shift = how.classes.bit_length() - 1
         places, frequent = Lookup(words.codes, shift), Lookup(codes_told, shift)
         log_count = np.log10(counts_told + how.added)
-        for batch in batches:
+        for batch in _pieces(batches, how.piece):
             codes, offsets = _documents(batch)
             starts = offsets[:-1]
             x = examples(codes, offsets, places, words.slot, how)
@@ -389,15 +405,13 @@ def _scorer(words: Words, weights: Weights, told, how: Maxent):
             for at in range(0, len(codes), how.batch):
                 some = slice(at, at + how.batch)
                 of, line = x.of[some], np.arange(len(x.of[some]))
-                by_class = _logits(words.class_bias, weights.by_class, x.class_rows[:, some])
-                by_place = _logits(words.place_bias[of], weights.by_place, x.place_rows[:, some])
-                made[some] = by_class[line, of].astype(np.float64) - np.log(np.exp(by_class).sum(axis=1))
-                made[some] += by_place[line, x.place[some]].astype(np.float64) - np.log(np.exp(by_place).sum(axis=1))
-            made /= math.log(10)
+                by_class = _shares(words.class_bias, weights.by_class, x.class_rows[:, some])[line, of]
+                by_place = _shares(np.take(words.place_bias, of, axis=0), weights.by_place, x.place_rows[:, some])[line, x.place[some]]
+                made[some] = np.log10(np.maximum(by_class.astype(np.float64) * by_place, 1e-300))
             other = x.place == how.places - 1
             made[other] += log_c[other] - words.rest[x.of[other]]
             ends = np.concatenate([[0], np.cumsum(~known)])[offsets]
-            sums = [np.add.reduceat(v, starts) if len(codes) else v[:0] for v in (log_c, made, known.astype(np.int64))]
+            sums = [np.add.reduceat(v, starts) for v in (log_c, made, known.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("part"), pa.array(np.diff(offsets)), *map(pa.array, sums),
                  pa.LargeListArray.from_arrays(ends, codes[~known]).cast(pa.list_(pa.int64()))],

@@ -12,7 +12,7 @@ from corpuslake.llm import maxent_lm as lm
 from corpuslake.stages import Stages
 
 SCHEMA = "row long, doc_id long, text string, n long, codes string"
-SMALL = lm.Maxent(classes=8, places=8, rows=1 << 9, batch=64, told=40, chunk=400)
+SMALL = lm.Maxent(classes=8, places=8, rows=1 << 9, batch=64, told=40, chunk=400, piece=200)
 
 
 def tokens_of(text):
@@ -97,9 +97,9 @@ def test_probabilities_sum_to_one(spark):
         total = 0.0
         for c in [*codes.tolist(), *unknown]:
             x = lm.examples(np.array([*head, c], np.int64), np.array([0, len(head) + 1]), places, words.slot, SMALL)
-            a = lm._logits(words.class_bias, weights.by_class, x.class_rows)[-1]
-            b = lm._logits(words.place_bias[x.of], weights.by_place, x.place_rows)[-1]
-            p = math.exp(a[x.of[-1]]) / np.exp(a).sum() * math.exp(b[x.place[-1]]) / np.exp(b).sum()
+            a = lm._shares(words.class_bias, weights.by_class, x.class_rows)[-1]
+            b = lm._shares(words.place_bias[x.of], weights.by_place, x.place_rows)[-1]
+            p = float(a[x.of[-1]]) * float(b[x.place[-1]])
             if x.place[-1] == SMALL.places - 1:
                 p *= 10 ** (log_n.get(c, -1.0) - words.rest[x.of[-1]])
             total += p
@@ -125,8 +125,7 @@ def test_steps_follow_the_gradient():
     bias = np.zeros(4, np.float32)
 
     def loss():
-        z = lm._logits(bias, level.weights, rows)
-        return float(np.mean(np.log(np.exp(z).sum(1)) - z[np.arange(500), target]))
+        return float(-np.log(lm._shares(bias, level.weights, rows)[np.arange(500), target]).mean())
 
     before = loss()
     for _ in range(100):
