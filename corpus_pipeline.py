@@ -36,12 +36,11 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group whose sets of five-word shingles have a similarity of 0.8 or more.
+    """The document with the smallest id of each group whose SimHash fingerprints (four-word shingles) link at 4 or fewer differing bits.
 
-    The sets themselves decide. Most pairs are found through fingerprints that differ in up to 13 bits, the others by prefixes
-    of the sets. Rows without an id stay, and so do all rows of an id that stays.
+    Rows without an id stay, and so do all rows of an id that stays.
     """
-    found = simhash_vptree.simhash_classes(docs, Stages(spark), shingle=5, distance=13, similarity=0.8)
+    found = simhash_vptree.simhash_classes(docs, Stages(spark), shingle=4, distance=4)
     gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     return docs.select(*_COLUMNS).join(gone, "doc_id", "left_anti").select(*_COLUMNS)
 
@@ -69,7 +68,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each but the last written and read again."""
+    """All stages over the documents, each but the last written and read again.
+
+    Null and empty texts count as empty in every stage; a null text is still null when it is packed. Rows of an id that repeats stay or
+    go together in the first and third stage. Columns beyond those of documents are not read. No documents: no rows.
+    """
     docs, stages = spark.read.parquet(f"{sf_dir}/documents.parquet"), Stages(spark)
     for _, stage in STAGES[:-1]:
         docs = stages.keep(stage(spark, docs, sf_dir))
