@@ -5,24 +5,17 @@ others the other way. Two fingerprints that differ in at most r bits have distan
 (triangle inequality), so a fingerprint in the further half is also sent to the nearer one as a guest if it lies within r
 of the median, and a guest follows both ways where it must. Each leaf is a shard that is searched on its own, by a tree of its own
 vantage points.
-
-With a ``similarity``, exactly the pairs whose sets of shingles have that Jaccard similarity link. The tree proposes pairs
-by bits and sketches (the sets' sizes then are a second distance: their logarithms differ by at most -log similarity, which a
-node may cut by), and the sets decide. What bits and sketches miss is found by prefixes: in any one order of all shingles,
-two sets of that similarity share one of their first n - ceil(similarity n) + 1. Shingles that are frequent in a sample come
-last in that order, which makes shared ones rare and is of no effect on the result.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -30,11 +23,9 @@ from corpuslake.llm.common import connected, whole_text
 from corpuslake.llm.linking import grid, roots, unite
 from corpuslake.stages import Stages
 
-SKETCH = 256  # bins of a sketch
 _CHUNK = 1 << 15  # shingles whose bits are counted at once
 _TILE = 1 << 20  # pairs compared at once
 _SMALL = 64  # members of a branch that is not cut further
-_EPS = 1e-9  # so that products such as 0.8 * 5 don't exceed the whole number they stand for
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -61,50 +52,17 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def sketch(hashes: np.ndarray) -> tuple[int, bytes]:
-    """Number of distinct shingles, and a byte of the least hash in each of SKETCH ranges (0: no hash there)."""
-    distinct = np.unique(hashes)
-    out = np.zeros(SKETCH, np.uint8)
-    bins = (distinct >> np.uint64(56)).astype(np.int64)
-    first = np.flatnonzero(np.diff(bins, prepend=-1))
-    out[bins[first]] = distinct[first] % np.uint64(255) + np.uint64(1)
-    return len(distinct), out.tobytes()
-
-
-def prefix(distinct: np.ndarray, similarity: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, of which any set of that similarity has at least one among its own first ones.
-
-    ``common`` (ascending) come last, by how ``often`` they occur.
-    """
-    n = len(distinct)
-    if not n:
-        return distinct
-    weight = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, distinct), len(common) - 1)
-        weight = np.where(common[at] == distinct, often[at], 0)
-    return distinct[np.lexsort((distinct, weight))][: n - math.ceil(similarity * n - _EPS) + 1]
-
-
-def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of the sets behind rows of two arrays of sketches."""
-    some = ((a > 0) | (b > 0)).sum(axis=1)
-    same = ((a == b) & (a > 0)).sum(axis=1)
-    return np.where(some == 0, 1.0, same / np.maximum(some, 1))
-
-
 @dataclass(frozen=True)
 class Cut:
-    """``vantage`` None: by size. Values of at most ``at`` go left; ``band`` is the most by which linked ones differ."""
+    """Distances to the vantage of at most ``at`` go left."""
 
-    vantage: np.uint64 | None
+    vantage: np.uint64
     at: float
-    band: float
     left: object = None
     right: object = None
 
-    def value(self, fps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        return sizes if self.vantage is None else np.bitwise_count(fps ^ self.vantage).astype(np.float64)
+    def value(self, fps: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(fps ^ self.vantage).astype(np.float64)
 
 
 @dataclass(frozen=True)
@@ -113,21 +71,19 @@ class Leaf:
     blocks: int
 
 
-def best_cut(fps: np.ndarray, sizes: np.ndarray, distance: int, band: float | None) -> tuple[Cut | None, float]:
-    """The cut at a median with the smallest share of values in its band, and that share."""
-    picks = fps[np.linspace(0, len(fps) - 1, 5).astype(int)]
+def best_cut(fps: np.ndarray, distance: int) -> tuple[Cut | None, float]:
+    """The cut at a median with the smallest share of distances within ``distance`` of it, and that share."""
     best, least = None, 1.0
-    for vantage, width in [*((p, float(distance)) for p in picks), *([(None, band)] if band is not None else [])]:
-        cut = Cut(vantage, 0.0, width)
-        values = cut.value(fps, sizes)
+    for vantage in fps[np.linspace(0, len(fps) - 1, 5).astype(int)]:
+        values = Cut(vantage, 0.0).value(fps)
         at = float(np.median(values))
-        share = float((np.abs(values - at) <= width).mean())
+        share = float((np.abs(values - at) <= distance).mean())
         if share < least and 0 < (values <= at).sum() < len(values):
-            best, least = Cut(vantage, at, width), share
+            best, least = Cut(vantage, at), share
     return best, least
 
 
-def tree(fps, sizes, scale: float, distance: int, band: float | None, leaf_rows: int, block_rows: int, most_copies: float):
+def tree(fps, scale: float, distance: int, leaf_rows: int, block_rows: int, most_copies: float):
     """A tree over a sample in which each fingerprint stands for ``scale`` of all.
 
     Branches are cut until they have ``leaf_rows``, are too few in the sample, can't be told apart, or the expected
@@ -138,30 +94,29 @@ def tree(fps, sizes, scale: float, distance: int, band: float | None, leaf_rows:
     def grow(own: np.ndarray, guests: np.ndarray, copies: float):
         cut = None
         if len(own) * scale > leaf_rows and len(own) >= 64 and copies < most_copies:
-            cut, share = best_cut(fps[own], sizes[own], distance, band)
+            cut, share = best_cut(fps[own], distance)
             if share > 0.9:
                 cut = None
         if cut is None:
             leaves.append(Leaf(len(leaves), grid(int((len(own) + len(guests)) * scale * 1.2), block_rows)))
             return leaves[-1]
-        sides = sent(cut, fps, sizes, own, guests)
+        sides = sent(cut, distance, fps, own, guests)
         more = (len(sides[0][1]) + len(sides[1][1]) + len(own)) / max(1, len(own) + len(guests))
         left, right = (grow(*side, copies * max(1.0, more)) for side in sides)
-        return Cut(cut.vantage, cut.at, cut.band, left, right)
+        return Cut(cut.vantage, cut.at, left, right)
 
     everyone = np.arange(len(fps))
     return grow(everyone, everyone[:0], 1.0)
 
 
-def sent(cut: Cut, fps, sizes, own, guests):
+def sent(cut: Cut, distance: int, fps, own, guests):
     """(own, guests) of the left and of the right branch, as indices."""
-    a, b = cut.value(fps[own], sizes[own]), cut.value(fps[guests], sizes[guests])
-    band = cut.band + 1e-9
-    left = np.concatenate([own[(a > cut.at) & (a <= cut.at + band)], guests[b <= cut.at + band]])
-    return (own[a <= cut.at], left), (own[a > cut.at], guests[b > cut.at - band])
+    a, b = cut.value(fps[own]), cut.value(fps[guests])
+    left = np.concatenate([own[(a > cut.at) & (a <= cut.at + distance)], guests[b <= cut.at + distance]])
+    return (own[a <= cut.at], left), (own[a > cut.at], guests[b > cut.at - distance])
 
 
-def search(fps, sizes, own, others, distance, band, found) -> None:
+def search(fps, own, others, distance, found) -> None:
     """Calls ``found(i, j)`` with index arrays of all pairs of ``own`` and ``others`` within the distance."""
     todo = [(own, others)]
     while todo:
@@ -170,12 +125,11 @@ def search(fps, sizes, own, others, distance, band, found) -> None:
             continue
         cut = share = None
         if len(own) > _SMALL:
-            cut, share = best_cut(fps[own], sizes[own], distance, band)
+            cut, share = best_cut(fps[own], distance)
         if cut is not None and share < 0.9:
-            a, b = cut.value(fps[own], sizes[own]), cut.value(fps[others], sizes[others])
-            width = cut.band + 1e-9
-            todo.append((own[a <= cut.at], others[b <= cut.at + width]))
-            todo.append((own[a > cut.at], others[b > cut.at - width]))
+            a, b = cut.value(fps[own]), cut.value(fps[others])
+            todo.append((own[a <= cut.at], others[b <= cut.at + distance]))
+            todo.append((own[a > cut.at], others[b > cut.at - distance]))
             continue
         step = max(1, _TILE // len(others))
         for k in range(0, len(own), step):
@@ -187,31 +141,26 @@ def search(fps, sizes, own, others, distance, band, found) -> None:
 
 _SHARD = pa.schema(
     [("leaf", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int8()), ("rep", pa.int64()),
-     ("fp", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary())]
+     ("fp", pa.int64())]
 )
-_SHARD_SQL = "leaf int, i int, j int, side tinyint, rep long, fp long, size int, sketch binary"
+_SHARD_SQL = "leaf int, i int, j int, side tinyint, rep long, fp long"
 _OWN, _OTHER, _GUEST = 0, 1, 2
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _log(sizes: np.ndarray) -> np.ndarray:
-    return np.log(np.maximum(sizes, 1)).astype(np.float64)
-
-
-def _dealt(top):
+def _dealt(top, distance: int):
     """Sends classes to shards: ``own`` rows to (i, j) for all j, and as ``other`` to (k, i) for all k; guests likewise."""
 
     def deal(batches):
         for batch in batches:
             fps = batch.column("fp").to_numpy().view(np.uint64)
-            sizes = _log(batch.column("size").to_numpy())
             todo, parts = [(top, np.arange(len(fps)), np.arange(0))], []
             while todo:
                 node, own, guests = todo.pop()
                 if not len(own) + len(guests):
                     continue
                 if isinstance(node, Cut):
-                    left, right = sent(node, fps, sizes, own, guests)
+                    left, right = sent(node, distance, fps, own, guests)
                     todo += [(node.left, *left), (node.right, *right)]
                     continue
                 n = node.blocks
@@ -227,54 +176,26 @@ def _dealt(top):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(rows), leaf, np.int32)), pa.array(i.astype(np.int32)),
                          pa.array(j.astype(np.int32)), pa.array(np.full(len(rows), side, np.int8)),
-                         *(taken.column(x) for x in ("rep", "fp", "size", "sketch"))],
+                         *(taken.column(x) for x in ("rep", "fp"))],
                         schema=_SHARD,
                     )
 
     return deal
 
 
-def _linked(distance: int, similarity: float | None, band: float | None):
-    """Links of a shard: the edges that tie each member to its class's root or, with a similarity, pairs that were tested."""
+def _linked(distance: int):
+    """Links of a shard: the edges that tie each member to its class's root."""
 
     def link(shard: pa.Table) -> pa.Table:
         fps = shard.column("fp").to_numpy().view(np.uint64)
         rep, side = shard.column("rep").to_numpy(), shard.column("side").to_numpy()
-        sizes = _log(shard.column("size").to_numpy())
         order = np.argsort(rep, kind="stable")  # so that roots don't depend on the order of rows
-        fps, rep, side, sizes = fps[order], rep[order], side[order], sizes[order]
-        marks = None
-        if similarity is not None:
-            octets = np.frombuffer(b"".join(shard.column("sketch").to_pylist()), np.uint8)
-            marks = octets.reshape(-1, SKETCH)[order]
+        fps, rep, side = fps[order], rep[order], side[order]
         own = np.flatnonzero(side == _OWN)
         whole = not (side == _OTHER).any() and (shard.column("i")[0].as_py() == shard.column("j")[0].as_py())
         others = np.arange(len(fps)) if whole else np.flatnonzero(side != _OWN)
-        parent, tested = np.arange(len(fps)), []
-
-        def found(i, j):
-            if similarity is None:
-                unite(parent, i, j)
-                return
-            for k in range(0, len(i), 1 << 14):
-                a, b = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
-                apart = roots(parent)[a] != parent[b]  # classes already joined need no test
-                a, b = a[apart], b[apart]
-                good = alike(marks[a], marks[b]) >= similarity
-                for x, y in zip(a[good].tolist(), b[good].tolist(), strict=True):
-                    top = []
-                    for z in (x, y):
-                        while parent[z] != z:
-                            parent[z] = z = parent[parent[z]]
-                        top.append(z)
-                    if top[0] != top[1]:
-                        parent[max(top)] = min(top)
-                        tested.append((x, y))
-
-        search(fps, sizes, own, others, distance, band, found)
-        if similarity is not None:
-            pairs = np.array(tested, np.int64).reshape(-1, 2)
-            return pa.table([pa.array(rep[pairs[:, 0]]), pa.array(rep[pairs[:, 1]])], schema=_LINK)
+        parent = np.arange(len(fps))
+        search(fps, own, others, distance, lambda i, j: unite(parent, i, j))
         roots(parent)
         tied = np.flatnonzero((parent != np.arange(len(fps))) & (rep != rep[parent]))
         return pa.table([pa.array(rep[tied]), pa.array(rep[parent[tied]])], schema=_LINK)
@@ -291,59 +212,6 @@ class VantageTree:
     leaf_rows: int = 1 << 12
     block_rows: int = 1 << 21
     most_copies: float = 8.0
-    common: int = 200_000
-
-
-def frequent(docs: DataFrame, shingle: int, bounds: VantageTree) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that at least three of about ``bounds.sample`` texts have (the ``bounds.common`` most frequent), and how many."""
-    step = max(1, -(-docs.count() // bounds.sample))
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
-    counts = some.select(F.explode(hash_set(shingle)("text")).alias("h")).groupBy("h").count().where("count >= 3")
-    found = counts.orderBy(F.desc("count"), "h").limit(bounds.common).toPandas()
-    h, n = found["h"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
-
-
-def hash_set(shingle: int):
-    @pandas_udf("array<long>")
-    def hashed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: np.unique(shingle_hashes(t, shingle)).view(np.int64))
-
-    return hashed
-
-
-def similar(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, stages: Stages) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts' sets of shingles have at least the Jaccard similarity."""
-    pairs = stages.keep(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    wanted = stages.keep(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    sets = docs.join(wanted, "doc_id").select("doc_id", hash_set(shingle)("text").alias("s"))
-    sets = stages.keep(sets.distinct())
-    x, y = (sets.select(F.col("doc_id").alias(k), F.col("s").alias(s)) for k, s in (("a", "x"), ("b", "y")))
-    both = F.size(F.array_intersect("x", "y")).alias("both")
-    tested = pairs.join(x, "a").join(y, "b").select("a", "b", (F.size("x") + F.size("y")).alias("n"), both)
-    return stages.keep(tested.where(F.when(F.col("both") > 0, F.col("both") / (F.col("n") - F.col("both"))) >= similarity)
-                       .select("a", "b").distinct())
-
-
-def untold(classes: DataFrame, joined: DataFrame, similarity: float, stages: Stages) -> DataFrame:
-    """Pairs ``a, b`` of classes of different components that may have the similarity, by their prefixes.
-
-    Of the first shingle two sets share, what follows it in either bounds what else they share.
-    """
-    rows = classes.select("rep", "size", "prefix").join(joined, F.col("rep") == F.col("node"), "left")
-    rows = rows.select("rep", F.coalesce("root", "rep").alias("root"), "size", F.posexplode("prefix").alias("pos", "h"))
-    by = Window.partitionBy("h")
-    rows = rows.select("*", F.min("root").over(by).alias("lo"), F.max("root").over(by).alias("hi")).where("lo < hi")
-    rows = stages.keep(rows.select("h", "rep", "root", "size", "pos"))
-    l, r = rows.alias("l"), rows.alias("r")
-    small, large = F.least("l.size", "r.size"), F.greatest("l.size", "r.size")
-    rest = F.least(F.col("l.size") - F.col("l.pos"), F.col("r.size") - F.col("r.pos"))
-    fit = (small >= F.lit(similarity) * large - _EPS) & (
-        rest >= F.lit(similarity / (1 + similarity)) * (F.col("l.size") + F.col("r.size")) - 1e-6
-    )
-    on = (F.col("l.h") == F.col("r.h")) & (F.col("l.root") < F.col("r.root")) & fit
-    return l.join(r, on).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
 
 
 def simhash_classes(
@@ -353,67 +221,40 @@ def simhash_classes(
     text: str = "text",
     shingle: int = 4,
     distance: int = 4,
-    similarity: float | None = None,
     bounds: VantageTree = VantageTree(),
 ) -> DataFrame:
     """``doc_id, fingerprint`` (bigint)``, component_id`` (the smallest doc_id that links reach) for every row.
 
-    Equal fingerprints are one class and are never paired with each other; classes link at ``distance`` or fewer differing
-    bits. With a ``similarity``, equal sets of shingles (hashes of 128 bits) are one class, and classes link if the Jaccard
-    similarity of the sets is at least that, at whatever distance; bits and sketches then only find most links sooner.
+    Equal fingerprints are one class and are never paired with each other; classes link at ``distance`` or fewer differing bits.
 
     Null and empty texts have the fingerprint 0 and link like others. Rows without a doc_id take the component of their class; a class
     of only such rows is linked with none and its component is null. Repeated rows and ids are rows of one class. An
     empty table gives an empty one. Only doc_id and text are read, so other columns can't clash.
     """
-    with_sketch = similarity is not None
-
     docs = docs.select(F.col(doc_id).alias("doc_id"), whole_text(F.col(text)).alias("text"))
-    common, often = frequent(docs, shingle, bounds) if with_sketch else (None, None)
-
-    @pandas_udf("fp long, size int, sketch binary, own binary, prefix array<long>")
-    def printed(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            h = shingle_hashes(t, shingle)
-            if not with_sketch:
-                rows.append((fingerprint(h), 0, b"", b"", None))
-                continue
-            distinct = np.unique(h)
-            first = prefix(distinct, similarity, common, often).view(np.int64)
-            rows.append((fingerprint(h), *sketch(h), xxhash.xxh3_128_digest(distinct.tobytes()), first))
-        return pd.DataFrame(rows, columns=["fp", "size", "sketch", "own", "prefix"])
-
-    key, rest = ("own", ["fp", "size", "sketch", "prefix"]) if with_sketch else ("fp", [])
-    prints = docs.select("doc_id", printed("text").alias("p")).select("doc_id", "p.*")
-    prints = stages.keep(prints.select("doc_id", *dict.fromkeys(["fp", key, *rest])))
-    classes = prints.groupBy(key).agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in rest])
-    classes = classes.where(F.col("rep").isNotNull())
-    if not with_sketch:
-        classes = classes.select("*", F.lit(0).alias("size"), F.lit(b"").alias("sketch"))
-    classes = stages.keep(classes)
+
+    @pandas_udf("long")
+    def printed(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(shingle_hashes(t, shingle)) for t in texts], dtype="int64")
+
+    prints = stages.keep(docs.select("doc_id", printed("text").alias("fp")))
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    classes = stages.keep(classes.where(F.col("rep").isNotNull()))
 
     n = classes.count()
     step = max(1, -(-n // bounds.sample))
-    taken = classes.where(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("fp", "size").toPandas()
-    taken = taken.sort_values(["fp", "size"])
-    band = -math.log(similarity) if with_sketch else None
-    block_rows = bounds.block_rows >> 3 if with_sketch else bounds.block_rows
+    taken = classes.where(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).select("fp").toPandas().sort_values("fp")
     top = tree(
-        taken["fp"].to_numpy(np.int64).view(np.uint64), _log(taken["size"].to_numpy(np.int64)), n / max(1, len(taken)),
-        distance, band, bounds.leaf_rows, block_rows, bounds.most_copies,
+        taken["fp"].to_numpy(np.int64).view(np.uint64), n / max(1, len(taken)), distance,
+        bounds.leaf_rows, bounds.block_rows, bounds.most_copies,
     )
-    shards = classes.select("rep", "fp", "size", "sketch").mapInArrow(_dealt(top), _SHARD_SQL)
-    links = shards.groupBy("leaf", "i", "j").applyInArrow(_linked(distance, similarity, band), "a long, b long")
-    if with_sketch:
-        links = similar(links, docs, shingle, similarity, stages)
-        pairs = untold(classes, connected(links, stages), similarity, stages)
-        links = links.union(similar(pairs, docs, shingle, similarity, stages))
+    shards = classes.select("rep", "fp").mapInArrow(_dealt(top, distance), _SHARD_SQL)
+    links = shards.groupBy("leaf", "i", "j").applyInArrow(_linked(distance), "a long, b long")
     joined = connected(links, stages)
     member = classes.alias("c").join(joined.alias("j"), F.col("c.rep") == F.col("j.node"), "left")
     # Written, so that the last join has a plain shuffle on both sides, and Spark can split what one fingerprint brings.
-    member = stages.keep(member.select(f"c.{key}", F.coalesce("j.root", "c.rep").alias("component_id")))
-    on = F.col(f"c.{key}").eqNullSafe(F.col(f"p.{key}"))
+    member = stages.keep(member.select("c.fp", F.coalesce("j.root", "c.rep").alias("component_id")))
+    on = F.col("c.fp") == F.col("p.fp")
     return prints.alias("p").join(member.alias("c"), on, "left").select(
         "p.doc_id", F.col("p.fp").alias("fingerprint"), "c.component_id"
     )
