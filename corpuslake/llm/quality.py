@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpuslake.llm.common import BLANKS, ascii_lower, let, lines_of, up_to, whole_text
+from corpuslake.llm.common import BLANKS, let, lines_of, up_to, whole_text
 
-_WORD = r"[^\x20\x09-\x0D]+"
+#: White space between two words, and the characters that count as symbols.
+_GAP, _SYMBOL = r"[\x20\x09-\x0D]+", r"[#*$%&|<>]"
 
 
 @dataclass(frozen=True)
@@ -17,7 +18,7 @@ class LineRules:
     """The rules of a line, and how much text a document may lose to them.
 
     ``end``: a line of ``min_words`` or more must end in one of these. ``separators``: a line with ``max_separators`` or
-    more of them is navigation. ``boilerplate``: a line that holds one of these phrases goes. ``max_symbols``: per word.
+    more of them is navigation. ``boilerplate``: a line that holds one of these phrases goes (A-Z in either case). ``max_symbols``: per word.
     """
 
     end: str = r"""[.!?…。:;,"'”’»)\]]$"""
@@ -32,21 +33,36 @@ class LineRules:
     max_lost: float = 0.5
 
 
-def line_verdict(line: Column, rules: LineRules) -> Column:
-    """The rule a line fails (navigation, boilerplate, symbols, punctuation), or null. Blank lines fail none."""
-    bare = F.btrim(line, F.lit(BLANKS))
-    words = F.size(F.regexp_extract_all(bare, F.lit(_WORD), F.lit(0)))
-    marks = F.length(bare) - F.length(F.regexp_replace(bare, rules.separators, ""))
-    symbols = F.length(bare) - F.length(F.translate(bare, "#*$%&|<>", ""))
+def _verdict(bare: Column, n_words: Column, n_symbols: Column, rules: LineRules) -> Column:
     return (
         F.when(bare == "", None)
-        .when(marks >= rules.max_separators, F.lit("navigation"))
-        .when(ascii_lower(bare).rlike(rules.boilerplate), F.lit("boilerplate"))
-        .when(symbols > rules.max_symbols * words, F.lit("symbols"))
-        .when((words >= rules.min_words) & ~bare.rlike(rules.end), F.lit("punctuation"))
+        .when(F.regexp_count(bare, F.lit(rules.separators)) >= rules.max_separators, F.lit("navigation"))
+        .when(bare.rlike(f"(?i){rules.boilerplate}"), F.lit("boilerplate"))
+        .when(n_symbols > rules.max_symbols * n_words, F.lit("symbols"))
+        .when((n_words >= rules.min_words) & ~bare.rlike(rules.end), F.lit("punctuation"))
     )
 
 
+def cut_line(line: Column, rules: LineRules) -> Column:
+    """A struct: line, words, n_symbols, and verdict: the rule the line fails (navigation, boilerplate, symbols, punctuation),
+    or null. Blank lines have no words and fail none."""
+
+    def of_words(bare, words, n_symbols):
+        verdict = _verdict(bare, F.size(words), n_symbols, rules)
+        return F.struct(line.alias("line"), words.alias("words"), n_symbols.alias("n_symbols"), verdict.alias("verdict"))
+
+    def of_bare(bare):
+        words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, _GAP))
+        symbols = F.regexp_count(bare, F.lit(_SYMBOL))
+        return let(words, lambda w: let(symbols, lambda n: of_words(bare, w, n)))
+
+    return let(F.btrim(line, F.lit(BLANKS)), of_bare)
+
+
+def line_verdict(line: Column, rules: LineRules) -> Column:
+    return cut_line(line, rules)["verdict"]
+
+
 def _repeat_words(words: Column) -> Column:
     """Words that stand in a three-word window found twice or more.
 
@@ -81,45 +97,43 @@ def _repeat_words(words: Column) -> Column:
     return F.when(n >= 2, found).otherwise(F.lit(0)).cast("bigint")
 
 
-def quality_report(text: Column, rules: LineRules = LineRules()) -> Column:
+def quality_report(text: Column, rules: LineRules = LineRules(), kept_text: bool = True) -> Column:
     """A struct: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words, kept and kept_text.
 
     Words are runs of anything but ASCII white space. The base fails below 50 words, or if over half the words stand in
     repeated three-word windows. ``kept`` is false if the base fails or if failing lines hold more than ``rules.max_lost``
-    of all words. ``kept_text`` joins the lines that stay. Null text is an empty one: all counts 0, base failed.
+    of all words. ``kept_text`` joins the lines that stay, if it is asked for. Null text is an empty one: all counts 0, base failed.
+
+    Words and white space never cross a line's end, so each line is cut into its words once, and all counts come from them.
     """
 
-    def of_lines(body, words, lines):
-        with_word = F.filter(lines, lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-        n_words = F.size(words).cast("bigint")
-        stay = F.filter(lines, lambda x: line_verdict(x, rules).isNull())
-        base = F.struct(
-            n_words.alias("n_words"),
-            F.length(F.translate(body, BLANKS, "")).cast("bigint").alias("word_chars"),
-            (F.length(body) - F.length(F.translate(body, "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
-            (F.size(with_word) - F.size(F.array_distinct(with_word))).cast("bigint").alias("n_dup_lines"),
+    def of_words(lines, words):
+        with_word = F.transform(F.filter(lines, lambda x: F.size(x["words"]) > 0), lambda x: x["line"])
+        lost = F.filter(lines, lambda x: x["verdict"].isNotNull())
+        stay = F.transform(F.filter(lines, lambda x: x["verdict"].isNull()), lambda x: x["line"])
+        counts = F.struct(
+            F.size(words).cast("bigint").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
+            _total(lines, lambda x: x["n_symbols"]).alias("n_symbols"),
+            let(with_word, lambda w: F.size(w) - F.size(F.array_distinct(w))).cast("bigint").alias("n_dup_lines"),
             _repeat_words(words).alias("n_repeat_words"),
-            F.array_join(stay, "\n").alias("kept_text"),
+            _total(lost, lambda x: F.size(x["words"])).alias("lost_words"),
         )
 
-        def judged(b):
-            failed = (b["n_words"] < 50) | (100 * b["n_repeat_words"] > 50 * b["n_words"])
-            lost = b["n_words"] - F.size(F.regexp_extract_all(b["kept_text"], F.lit(_WORD), F.lit(0)))
-            good = ~failed & (lost <= rules.max_lost * b["n_words"])
-            names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_text"]
-            return F.struct(
-                *[b[x].alias(x) for x in names],
-                failed.alias("base_failed"),
-                lost.cast("bigint").alias("lost_words"),
-                good.alias("kept"),
-            )
+        def judged(c):
+            failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+            good = ~failed & (c["lost_words"] <= rules.max_lost * c["n_words"])
+            names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words"]
+            text_too = [F.array_join(stay, "\n").alias("kept_text")] if kept_text else []
+            return F.struct(*[c[x].alias(x) for x in names], failed.alias("base_failed"), good.alias("kept"), *text_too)
 
-        return let(base, judged)
+        return let(counts, judged)
 
     return let(
-        whole_text(text),
-        lambda body: let(
-            F.regexp_extract_all(body, F.lit(_WORD), F.lit(0)),
-            lambda words: let(lines_of(body), lambda lines: of_lines(body, words, lines)),
-        ),
+        F.transform(lines_of(whole_text(text)), lambda line: cut_line(line, rules)),
+        lambda lines: let(F.flatten(F.transform(lines, lambda x: x["words"])), lambda words: of_words(lines, words)),
     )
+
+
+def _total(rows: Column, value) -> Column:
+    return F.aggregate(rows, F.lit(0).cast("bigint"), lambda acc, x: acc + value(x).cast("bigint"))

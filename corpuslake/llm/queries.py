@@ -64,7 +64,7 @@ def op6_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", "kept"]
     return docs.select(
-        "doc_id", let(quality.quality_report(F.col("text")), lambda r: F.struct(*[r[n].alias(n) for n in names])).alias("r")
+        "doc_id", let(quality.quality_report(F.col("text"), kept_text=False), lambda r: F.struct(*[r[n].alias(n) for n in names])).alias("r")
     ).select("doc_id", "r.*")
 
 
