@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +17,7 @@ from corpuslake.operators import search
 from corpuslake.operators import structure as st
 from corpuslake.operators import tokens as tk
 from corpuslake.operators import units
+from corpuslake.operators.structure import TooManyErrors
 from corpuslake.plans import corpora as cp
 from corpuslake.plans.extraction import extract
 from corpuslake.sinks import tables as sink
@@ -369,79 +371,105 @@ def _written_vertical(spark, sf_dir, stages, where, latin=False, **options):
     return folder
 
 
+def _all_corpora(spark, sf_dir):
+    # One row per corpus of the table.
+    return [r[0] for r in cp.documents(spark, sf_dir).select("corpus_id").distinct().orderBy("corpus_id").collect()]
+
+
 @query
 def vertical_files_scan(spark, sf_dir):
-    """The lines of ``vertical_lines_parse`` from files: plain, packed by gzip, and in a single-byte charset."""
-    stages, lang = Stages(spark), F.col("lang")
-    parts = [
-        ("en", "utf-8", _written_vertical(spark, sf_dir, stages, lang == "en")),
-        ("fr", "utf-8", _written_vertical(spark, sf_dir, stages, lang == "fr", compression="gzip")),
-        *[(x, "iso8859-1", _written_vertical(spark, sf_dir, stages, lang == x, latin=True)) for x in ("de", "es")],
-    ]
-    lines = [
-        read_lines(spark, resolve_paths(spark, file=folder, skip_hidden=True), corpus, encoding)
-        for corpus, encoding, folder in parts
-    ]
+    """The lines of ``vertical_lines_parse`` from files: plain, packed by gzip, and, where all characters allow it, in a single-byte charset."""
+    stages, docs = Stages(spark), cp.documents(spark, sf_dir)
+    wide = F.concat_ws("", "text", "source", "lang").rlike("[^\\x00-\\xFF]")
+    # One row per corpus of the table.
+    found = docs.groupBy("corpus_id").agg(F.count_if(wide).alias("wide")).orderBy(F.desc("wide"), "corpus_id").collect()
+    lines = []
+    for k, (corpus, beyond) in enumerate(found):
+        latin, packed = k > 1 and not beyond, {"compression": "gzip"} if k == 1 else {}
+        folder = _written_vertical(spark, sf_dir, stages, F.col("corpus_id") == corpus, latin, **packed)
+        paths = resolve_paths(spark, file=folder, skip_hidden=True)
+        lines.append(read_lines(spark, paths, corpus, "iso8859-1" if latin else "utf-8"))
     names = ["word", "lemma", "tag", "feats"]
-    tokens = token_lines(reduce(DataFrame.union, lines))
+    tokens = token_lines(reduce(DataFrame.union, lines) if lines else cp.document_lines(spark, sf_dir, cp.simple_paragraph(cp.full_token)))
     cols = tokens.select("corpus_id", *[token_column(i).alias(n) for i, n in enumerate(names)])
     return cols.groupBy("corpus_id", *names).agg(F.count("*").alias("n"))
 
 
+_STORED_UNITS = ["doc_id", "doc_date", "poscount", "wordcount", "corpus_id"]
+
+
+def _stored_corpora(spark, sf_dir, stages, root):
+    """(target, files, options) of each corpus: the first to be created, the others appended, the last in a moving window."""
+    corpora = _all_corpora(spark, sf_dir)
+    for k, corpus in enumerate(corpora):
+        folder = _written_vertical(spark, sf_dir, stages, F.col("corpus_id") == corpus)
+        window = {"date_attr": "doc_date", "remove_before": "2020-06-01"} if 0 < k == len(corpora) - 1 else {}
+        files = resolve_paths(spark, file=folder, skip_hidden=True)
+        yield sink.Target(root, corpus, group="both"), files, {"append": k > 0, **window}
+
+
 @query
 def sink_units(spark, sf_dir):
-    """Text units of one corpus created and of another appended to the same table, in a moving window."""
-    stages = Stages(spark)
+    """Text units of every corpus in one table: the first created, the others appended, the last in a moving window."""
+    stages, target = Stages(spark), None
     root, spec = stages.folder(), StructureSpec({"doc": ["id", "date"]}, atom="doc")
-    for corpus, options in (("es", {}), ("fr", {"append": True, "date_attr": "doc_date", "remove_before": "2020-06-01"})):
-        folder = _written_vertical(spark, sf_dir, stages, F.col("lang") == corpus)
-        files = resolve_paths(spark, file=folder, skip_hidden=True)
-        extract(spark, sink.Target(root, corpus, group="both"), spec, files=files, **options)
-    target = sink.Target(root, "es", group="both")
-    return sink.read(spark, target, target.units).select("doc_id", "doc_date", "poscount", "wordcount", "corpus_id")
+    for target, files, options in _stored_corpora(spark, sf_dir, stages, root):
+        extract(spark, target, spec, files=files, **options)
+    return sink.read(spark, target, target.units).select(*_STORED_UNITS)
 
 
 @query
 def sink_frequencies(spark, sf_dir):
+    """N-gram counts of every corpus in one table, corpus after corpus."""
     root = Stages(spark).folder()
     spec, rules = _rules(VertColumn(0, ""))
-    for corpus in ("es", "fr"):
+    for k, corpus in enumerate(_all_corpora(spark, sf_dir)):
         target = sink.Target(root, corpus, group="both")
         texts = cp.document_tokens(spark, sf_dir).where(F.col("corpus_id") == corpus)
         counts = ng.count_ngrams(ng.from_arrays(texts, 1, rules), ["corpus_id", "col0"])
-        sink.write_frequencies(ng.frequency_table(counts, spec), target, append=corpus == "fr")
+        sink.write_frequencies(ng.frequency_table(counts, spec), target, append=k > 0)
     return sink.read(spark, target, target.frequencies)
 
 
-def _all_corpora(spark, sf_dir):
-    # One row per corpus of the table.
-    return [r[0] for r in cp.documents(spark, sf_dir).select("corpus_id").distinct().orderBy("corpus_id").collect()]
-
-
 @query
 def sink_units_all(spark, sf_dir):
-    """``sink_units`` over every corpus of the table: the first created, the others appended, the last in a moving window."""
-    stages, corpora = Stages(spark), _all_corpora(spark, sf_dir)
+    """``sink_units`` with appends that must change nothing: each input again (refused), one that fails, and one that replaces its corpus."""
+    stages, target = Stages(spark), None
     root, spec = stages.folder(), StructureSpec({"doc": ["id", "date"]}, atom="doc")
-    for k, corpus in enumerate(corpora):
-        folder = _written_vertical(spark, sf_dir, stages, F.col("lang") == corpus)
-        files = resolve_paths(spark, file=folder, skip_hidden=True)
-        window = {"date_attr": "doc_date", "remove_before": "2020-06-01"} if 0 < k == len(corpora) - 1 else {}
-        extract(spark, sink.Target(root, corpus, group="both"), spec, files=files, **({"append": True} if k else {}), **window)
-    target = sink.Target(root, corpora[0], group="both")
-    return sink.read(spark, target, target.units).select("doc_id", "doc_date", "poscount", "wordcount", "corpus_id")
+    for target, files, options in _stored_corpora(spark, sf_dir, stages, root):
+        if "date_attr" in options:
+            with contextlib.suppress(TooManyErrors):
+                extract(spark, target, spec, files=[*files, _broken(spark, stages)], **options)
+                raise AssertionError("an input beyond the budget was stored")
+        extract(spark, target, spec, files=files, **options)
+        with contextlib.suppress(sink.Repeated):
+            extract(spark, target, spec, append=True, files=files)
+            raise AssertionError("the same input was stored twice")
+    extract(spark, target, spec, append=True, files=files, repeat="replace")
+    return sink.read(spark, target, target.units).select(*_STORED_UNITS)
+
+
+def _broken(spark, stages):
+    """A file with an end that has no beginning."""
+    folder = stages.folder()
+    spark.createDataFrame([("</doc>",)], "line string").coalesce(1).write.text(folder)
+    return resolve_paths(spark, file=folder, skip_hidden=True)[0]
 
 
 @query
 def sink_frequencies_all(spark, sf_dir):
-    """``sink_frequencies`` over every corpus of the table."""
-    root, corpora = Stages(spark).folder(), _all_corpora(spark, sf_dir)
+    """``sink_frequencies`` with two appends for each corpus, whose counts are added up."""
+    root = Stages(spark).folder()
     spec, rules = _rules(VertColumn(0, ""))
-    for k, corpus in enumerate(corpora):
+    first = True
+    for corpus in _all_corpora(spark, sf_dir):
         target = sink.Target(root, corpus, group="both")
         texts = cp.document_tokens(spark, sf_dir).where(F.col("corpus_id") == corpus)
-        counts = ng.count_ngrams(ng.from_arrays(texts, 1, rules), ["corpus_id", "col0"])
-        sink.write_frequencies(ng.frequency_table(counts, spec), target, append=k > 0)
+        early = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+        for batch in (early, ~early):  # together the whole corpus
+            counts = ng.count_ngrams(ng.from_arrays(texts.where(batch), 1, rules), ["corpus_id", "col0"])
+            sink.write_frequencies(ng.frequency_table(counts, spec), target, append=not first)
+            first = False
     return sink.read(spark, target, target.frequencies)
 
 

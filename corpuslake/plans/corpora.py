@@ -82,9 +82,9 @@ def day(doc_id: Column) -> Column:
 
 def doc_tag() -> Column:
     return F.concat(
-        F.lit('<doc id="'), F.col("doc_id").cast("string"),
-        F.lit('" lang="'), F.col("lang"),
-        F.lit('" source="'), F.col("source"),
+        F.lit('<doc id="'), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        F.lit('" lang="'), F.coalesce("lang", F.lit("")),
+        F.lit('" source="'), F.coalesce("source", F.lit("")),
         F.lit('" date="'), day(F.col("doc_id")),
         F.lit('">'),
     )

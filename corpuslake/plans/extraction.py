@@ -15,7 +15,8 @@ from corpuslake.operators import ngrams as ng
 from corpuslake.operators import structure as st
 from corpuslake.operators import tokens as tk
 from corpuslake.operators.ordered import Order
-from corpuslake.operators.units import duplicate_items, moving_window
+from corpuslake.operators.units import duplicate_items
+from corpuslake.sinks import snapshots
 from corpuslake.sinks import tables as sink
 from corpuslake.sources.vertical import read_lines, resolve_paths, struct_events, token_column, token_lines
 from corpuslake.stages import Stages
@@ -100,41 +101,57 @@ def extract(
     max_errors: int = 0,
     date_attr: str | None = None,
     remove_before: dt.date | str | None = None,
+    repeat: str = "refuse",
     **options,
 ) -> int:
     """Reads a vertical and writes its tables; returns the number of errors tolerated.
 
-    ``append`` adds the corpus to existing tables, after removing text units older than
-    ``remove_before`` by ``date_attr``. Nothing is written or removed if the input has more than
-    ``max_errors`` errors; a tag in error is left out. ``options`` are those of ``build``.
+    Without ``append``, the tables of units and of n-grams are replaced, both. ``append`` adds the corpus to existing tables, after
+    removing text units older than ``remove_before`` by ``date_attr``. The same input of a corpus again is refused
+    (``repeat="refuse"``), or the corpus is replaced by it (``repeat="replace"``). All changes count at once, when a snapshot names
+    them; nothing changes if the job fails, if the input has more than ``max_errors`` errors (a tag in error is left out), or if
+    another job has changed the tables meanwhile. ``options`` are those of ``build``.
     """
     if (date_attr is None) != (remove_before is None):
         raise ValueError("a moving window needs both date_attr and remove_before")
     if remove_before is not None and not append:
         raise ValueError("a moving window is for append only")
+    if repeat not in ("refuse", "replace"):
+        raise ValueError(f"repeat is refuse or replace, not {repeat}")
     if append:
         sink.require_existing(spark, target)
-    lines = read_lines(spark, resolve_paths(spark, file, files), target.corpus, encoding)
+    paths = resolve_paths(spark, file, files)
+    before, source = sink.snapshot(spark, target), sink.input_key(spark, paths)
+    known = append and any(source in p.sources for p in before.parts if target.corpus in p.corpora)
+    if known and repeat == "refuse":
+        raise sink.Repeated(f"this input of {target.corpus} is stored already")
+    lines = read_lines(spark, paths, target.corpus, encoding)
     stages = Stages(spark)
     try:
         made = build(lines, spec, stages, **options)
         errors = st.check_errors(made.errors, max_errors)
         units = stages.keep(made.units)
+        add, drop = [], []
+        if not append:
+            drop += [*before.of(sink.UNITS), *before.of(sink.FREQUENCIES)]
+        elif known:
+            add, drop = sink.corpus_parts(spark, target, before, target.corpus)
+        left = before.with_parts(add, drop)
+        if remove_before is not None:
+            more, less, _ = sink.older_parts(spark, target, left, date_attr, remove_before)
+            add, drop = [p for p in add if p not in less] + more, drop + less
+            left = before.with_parts(add, drop)
         if options.get("join"):
             named = units.select("item_id", "corpus_id")
-            if append:
-                stored = sink.read(spark, target, target.units)
-                if remove_before is not None:
-                    stored = moving_window(stored, date_attr, remove_before)
-                named = named.unionByName(stored.select("item_id", "corpus_id"))
+            if left.of(sink.UNITS):
+                named = named.unionByName(sink.read(spark, target, target.units, left).select("item_id", "corpus_id"))
             if twice := duplicate_items(named).take(1):
                 raise ValueError(f"item id {twice[0]['item_id']} is not unique in {twice[0]['corpus_id']}")
-        frequencies = stages.keep(made.frequencies) if made.frequencies is not None else None
-        if remove_before is not None:
-            sink.remove_older(spark, target, date_attr, remove_before)
-        sink.write_units(units, target, append)
-        if frequencies is not None:
-            sink.write_frequencies(frequencies, target, append)
+        add.append(sink.units_part(units, target, [source]))
+        if made.frequencies is not None:
+            more, less = sink.merged_frequencies(spark, stages.keep(made.frequencies), target, left, [source])
+            add, drop = [p for p in add if p not in less] + more, drop + less
+        snapshots.publish(spark, target.log, before.with_parts(add, drop))
     finally:
         stages.drop()
     return errors

@@ -53,10 +53,9 @@ def import_livetokens(
         raw = stages.keep(lt.raw_counts(attribute_rows(tokens, attrs), names, "__feats", "__line"))
         counted = stages.keep(lt.parsed_counts(raw, names, "__feats", "__line", keep_featless))
         valid = lt.valid_only(counted, names, strict_numeric)
-        sink.write_livetokens(*lt.token_tables(valid, names), target)
         rejected = counted.where(~lt.looks_valid(names, strict_numeric))
         rejected = rejected.select(*names, "feats_key", "cnt", "last_line")
-        rejected.write.format(target.format).mode("overwrite").save(target.rejected)
+        sink.write_livetokens(*lt.token_tables(valid, names), target, rejected)
         unparsed = raw.where(lt.feat_sets(F.col("__feats")).isNull()).agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
         return ImportReport(width_errors(tokens), sink.read(spark, target, target.rejected).count(), unparsed)
     finally:

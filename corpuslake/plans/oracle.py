@@ -19,7 +19,7 @@ FEATS = r"""CASE WHEN length(word) = 1 THEN '_' ELSE
 
 # One row per paragraph of a document, and one per token.
 TOKENS = """paras AS (
-  SELECT lang AS corpus_id, doc_id, source, unnest(string_split(text, chr(10))) AS line,
+  SELECT coalesce(lang, '') AS corpus_id, doc_id, source, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS num
   FROM documents),
 pieces AS (
@@ -57,7 +57,7 @@ DAY = "strftime(DATE '2020-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m-%d')"
 UNITS = TOKENS + f""",
 sized AS (SELECT doc_id, num, count(*) AS n FROM toks GROUP BY doc_id, num),
 units AS (
-  SELECT CAST(doc_id AS VARCHAR) AS doc_id, corpus_id AS doc_lang, source AS doc_source, {DAY} AS doc_date,
+  SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(corpus_id, '') AS doc_lang, nullif(source, '') AS doc_source, {DAY} AS doc_date,
          CAST(num AS VARCHAR) AS p_num, CAST(NULL AS VARCHAR) AS p_style, coalesce(n, 0) AS poscount,
          CAST(0 AS BIGINT) AS wordcount, corpus_id
   FROM paras LEFT JOIN sized USING (doc_id, num))"""
@@ -230,7 +230,7 @@ SELECT a.conv_id || '_' || (a.turn // 2) AS item_id, a.role AS corpus_id_a, a.tu
        b.role AS corpus_id_b, b.turn AS turn_num_b, b.n AS poscount_b
 FROM turns a JOIN turns b ON a.conv_id = b.conv_id AND a.turn // 2 = b.turn // 2 AND a.role < b.role""",
     "moving_window": f"""WITH dated AS (
-  SELECT lang AS corpus_id, doc_id, CASE WHEN lang = 'fr' THEN source ELSE {DAY} END AS doc_date FROM documents)
+  SELECT coalesce(lang, '') AS corpus_id, doc_id, CASE WHEN lang = 'fr' THEN source ELSE {DAY} END AS doc_date FROM documents)
 SELECT * FROM dated WHERE coalesce(try_strptime(doc_date, '%Y-%m-%d') >= TIMESTAMP '2020-03-15', true)""",
     "ud_feats_parse": f"""WITH {TAGGED}, {BLOCKS}
 SELECT feats AS raw, CAST(coalesce(block, -1) AS INTEGER) AS block, feats_key
@@ -271,16 +271,6 @@ UNION ALL SELECT DISTINCT 'feat', feat, value FROM udfeats WHERE token_id IN (SE
 SELECT units.doc_id, CASE WHEN num % 2 = 0 THEN CAST(num - 1 AS VARCHAR) END AS q_part, p_num, poscount, wordcount, units.corpus_id
 FROM units JOIN (SELECT CAST(doc_id AS VARCHAR) AS doc_id, num, line FROM paras) AS p
   ON units.doc_id = p.doc_id AND p_num = CAST(num AS VARCHAR) WHERE line LIKE '%.'""",
-    "sink_units": f"""WITH {UNITS}, docs AS (
-  SELECT CAST(doc_id AS VARCHAR) AS id, {DAY} AS day FROM documents)
-SELECT doc_id, doc_date, poscount, wordcount, corpus_id FROM (
-  SELECT units.doc_id, day AS doc_date, CAST(sum(poscount) AS BIGINT) AS poscount, CAST(0 AS BIGINT) AS wordcount, corpus_id
-  FROM units JOIN docs ON units.doc_id = docs.id GROUP BY units.doc_id, day, corpus_id)
-WHERE corpus_id = 'fr' OR corpus_id = 'es' AND doc_date >= '2020-06-01'""",
-    "sink_frequencies": f"""WITH {TOKENS}
-SELECT CASE WHEN strlen(word) <= 127 THEN word END AS col0, sha1(word) AS hash_id, count(*) AS "count",
-       CAST(-1 AS DOUBLE) AS arf, false AS initial_cap, corpus_id, CAST('1' AS VARCHAR) AS ngram_size
-FROM toks WHERE corpus_id IN ('es', 'fr') GROUP BY corpus_id, word""",
     "sink_units_all": f"""WITH {UNITS}, docs AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, {DAY} AS day FROM documents)
 SELECT doc_id, doc_date, poscount, wordcount, corpus_id FROM (
@@ -305,6 +295,7 @@ seqd AS (
 SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER) AS line,
        'close of div does not fit the innermost open element: <p>' AS message
 FROM seqd WHERE digit = 1"""
+ORACLE_SQL["sink_units"], ORACLE_SQL["sink_frequencies"] = ORACLE_SQL["sink_units_all"], ORACLE_SQL["sink_frequencies_all"]
 ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_lines_parse"]
 ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf"]
 ORACLE_SQL["ngram_ipm_many"] = ORACLE_SQL["ngram_ipm"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,16 @@ from pyspark.sql import functions as F
 
 from corpuslake.operators.ngrams import distinct_values
 from corpuslake.operators.units import expired
-from corpuslake.stages import Stages
+from corpuslake.sinks import snapshots
+from corpuslake.sinks.snapshots import Part, Snapshot
+
+UNITS, FREQUENCIES, TOKENS, FEATS, REJECTED = (
+    "liveattrs_entry", "colcounts", "livetokens", "livetokens_udfeats", "livetokens_rejected"
+)
+
+
+class Repeated(ValueError):
+    """This input of the corpus is stored already."""
 
 
 @dataclass(frozen=True)
@@ -22,28 +33,32 @@ class Target:
     group: str | None = None
     format: str = "parquet"
 
+    @property
+    def log(self) -> str:
+        return self.path("snapshots")
+
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{self.group or self.corpus}_{table}"
 
     @property
     def units(self) -> str:
-        return self.path("liveattrs_entry")
+        return self.path(UNITS)
 
     @property
     def frequencies(self) -> str:
-        return self.path("colcounts")
+        return self.path(FREQUENCIES)
 
     @property
     def tokens(self) -> str:
-        return self.path("livetokens")
+        return self.path(TOKENS)
 
     @property
     def feats(self) -> str:
-        return self.path("livetokens_udfeats")
+        return self.path(FEATS)
 
     @property
     def rejected(self) -> str:
-        return self.path("livetokens_rejected")
+        return self.path(REJECTED)
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -56,63 +71,132 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def read(spark: SparkSession, target: Target, path: str) -> DataFrame:
-    # Partition values such as a corpus named 2020 stay strings.
-    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
-        return spark.read.format(target.format).load(path)
-    finally:
-        spark.conf.set(setting, before)
+def snapshot(spark: SparkSession, target: Target) -> Snapshot:
+    return snapshots.latest(spark, target.log)
+
+
+def read(spark: SparkSession, target: Target, path: str, at: Snapshot | None = None) -> DataFrame:
+    """The rows of the table at ``path``, as the latest snapshot (or that of ``at``) has it."""
+    table = path.removeprefix(target.path(""))
+    parts = (at or snapshot(spark, target)).of(table)
+    if not parts:
+        raise FileNotFoundError(f"no rows at {path}")
+    return snapshots.rows(spark, path, parts, target.format)
 
 
 def require_existing(spark: SparkSession, target: Target) -> None:
-    if not exists(spark, target.units):
+    if not snapshot(spark, target).of(UNITS):
         raise FileNotFoundError(f"nothing to append to: {target.units}")
 
 
-def write_units(units: DataFrame, target: Target, append: bool = False) -> None:
-    mode = "append" if append else "overwrite"
-    units.write.format(target.format).mode(mode).partitionBy("corpus_id").save(target.units)
+def input_key(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Tells inputs apart: a hash of the files' paths, sizes and times."""
+    hadoop, found = spark._jvm.org.apache.hadoop.fs, []
+    for path in paths:
+        file = hadoop.Path(path)
+        status = file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file)
+        found.append(f"{path}\n{status.getLen()}\n{status.getModificationTime()}")
+    return hashlib.sha256("\n".join(found).encode()).hexdigest()
 
 
-def write_frequencies(table: DataFrame, target: Target, append: bool = False) -> None:
-    mode = "append" if append else "overwrite"
-    table.write.format(target.format).mode(mode).partitionBy("corpus_id", "ngram_size").save(target.frequencies)
+def _corpora(df: DataFrame) -> list[str]:
+    # One row per corpus of the write.
+    return [r[0] for r in df.select("corpus_id").distinct().collect()]
 
 
-def write_livetokens(tokens: DataFrame, feats: DataFrame, target: Target) -> None:
-    """Replaces both tables. Features are sorted in each file, so that a search skips most of it."""
-    tokens.write.format(target.format).mode("overwrite").save(target.tokens)
-    feats.sortWithinPartitions("feat", "value").write.format(target.format).mode("overwrite").save(target.feats)
+def units_part(units: DataFrame, target: Target, sources: Sequence[str] = ()) -> Part:
+    return snapshots.written(units, target.units, UNITS, _corpora(units), sources, target.format)
 
 
-def _partition(spark: SparkSession, column: str, value: str | None) -> str:
-    """The folder of a partition, with the characters escaped as Spark does when it writes."""
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+def frequency_parts(table: DataFrame, target: Target, sources: Sequence[str] = ()) -> list[Part]:
+    """No part for no rows: partitioned by ``ngram_size``, it would have no file to tell its columns."""
+    if not (corpora := _corpora(table)):
+        return []
+    return [snapshots.written(table, target.frequencies, FREQUENCIES, corpora, sources, target.format, ("ngram_size",))]
+
+
+def merged_frequencies(
+    spark: SparkSession, table: DataFrame, target: Target, before: Snapshot, sources: Sequence[str] = ()
+) -> tuple[list[Part], list[Part]]:
+    """(parts to add, parts to drop) for new counts of n-grams: (corpus_id, ngram_size, columns) stays unique.
+
+    Counts of corpora that are stored already are added up. Their ARF needs all occurrences, so counts with an ARF can't be added.
+    """
+    corpora = _corpora(table)
+    held = [p for p in before.of(FREQUENCIES) if set(p.corpora) & set(corpora)]
+    if not held:
+        return frequency_parts(table, target, sources), []
+    stored = snapshots.rows(spark, target.frequencies, held, target.format)
+    both = table.withColumn("ngram_size", F.col("ngram_size").cast("string")).unionByName(stored)
+    if both.where(F.col("arf") != -1).limit(1).count():
+        raise ValueError("the ARF of a stored corpus can't be added to; read all its texts in one job")
+    keys = [c for c in table.columns if c not in ("count", "arf")]
+    summed = both.groupBy(*keys).agg(F.sum("count").alias("count"), F.max("arf").alias("arf")).select(*table.columns)
+    known = {s for p in held for s in p.sources}
+    return frequency_parts(summed, target, sorted(known | set(sources))), held
+
+
+def write_units(units: DataFrame, target: Target, append: bool = False) -> None:
+    spark = units.sparkSession
+    before = snapshot(spark, target)
+    part = units_part(units, target)
+    snapshots.publish(spark, target.log, before.with_parts([part], [] if append else before.of(UNITS)))
+
+
+def write_frequencies(table: DataFrame, target: Target, append: bool = False) -> None:
+    """``append`` adds to the counts of corpora that are stored already."""
+    spark = table.sparkSession
+    before = snapshot(spark, target)
+    if append:
+        add, drop = merged_frequencies(spark, table, target, before)
+    else:
+        add, drop = frequency_parts(table, target), before.of(FREQUENCIES)
+    snapshots.publish(spark, target.log, before.with_parts(add, drop))
+
+
+def write_livetokens(tokens: DataFrame, feats: DataFrame, target: Target, rejected: DataFrame | None = None) -> None:
+    """Replaces these tables at once. Features are sorted in each file, so that a search skips most of it."""
+    spark = tokens.sparkSession
+    before = snapshot(spark, target)
+    add = [
+        snapshots.written(tokens, target.tokens, TOKENS, [target.corpus], (), target.format),
+        snapshots.written(feats.sortWithinPartitions("feat", "value"), target.feats, FEATS, [target.corpus], (), target.format),
+    ]
+    if rejected is not None:
+        add.append(snapshots.written(rejected, target.rejected, REJECTED, [target.corpus], (), target.format))
+    drop = [p for t in (TOKENS, FEATS, REJECTED) for p in before.of(t)]
+    snapshots.publish(spark, target.log, before.with_parts(add, drop))
+
+
+def older_parts(
+    spark: SparkSession, target: Target, before: Snapshot, date_attr: str, oldest: dt.date | str
+) -> tuple[list[Part], list[Part], int]:
+    return snapshots.rewritten(spark, target.units, before.of(UNITS), expired(date_attr, oldest), target.format)
 
 
 def remove_older(spark: SparkSession, target: Target, date_attr: str, oldest: dt.date | str) -> int:
-    """Removes text units older than a date and tells how many. Only corpora that lose some are rewritten."""
-    stored = read(spark, target, target.units)
-    old = expired(date_attr, oldest)
-    # One row per corpus of the table.
-    losses = stored.groupBy("corpus_id").agg(F.count_if(old).alias("gone"), F.count("*").alias("all"))
-    losses = losses.where("gone > 0").collect()
-    if not losses:
-        return 0
-    stages = Stages(spark)
-    kept = stages.keep(stored.where(F.col("corpus_id").isin([r["corpus_id"] for r in losses]) & ~old))
-    kept.write.format(target.format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "corpus_id"
-    ).save(target.units)
-    for row in losses:
-        if row["gone"] == row["all"]:
-            fs, folder = _hadoop_path(spark, f"{target.units}/{_partition(spark, 'corpus_id', row['corpus_id'])}")
-            fs.delete(folder, True)
-    stages.drop()
-    return sum(r["gone"] for r in losses)
+    """Removes text units older than a date and tells how many. Only parts that lose some are written anew."""
+    before = snapshot(spark, target)
+    add, drop, gone = older_parts(spark, target, before, date_attr, oldest)
+    if gone:
+        snapshots.publish(spark, target.log, before.with_parts(add, drop))
+    return gone
+
+
+def corpus_parts(spark: SparkSession, target: Target, before: Snapshot, corpus: str) -> tuple[list[Part], list[Part]]:
+    """(parts to add, parts to drop) to take a corpus out of units and n-grams."""
+    add, drop = [], []
+    for table, path, by in ((UNITS, target.units, ()), (FREQUENCIES, target.frequencies, ("ngram_size",))):
+        held = before.of(table, corpus)
+        more, less, _ = snapshots.rewritten(spark, path, held, F.col("corpus_id") == corpus, target.format, by)
+        add += more
+        drop += less
+    return add, drop
+
+
+def vacuum(spark: SparkSession, target: Target, keep: int = 1) -> int:
+    """Deletes parts that the last ``keep`` snapshots don't name; not while another job writes."""
+    return snapshots.vacuum(spark, target.log, target.path, keep)
 
 
 def export_values(df: DataFrame, column: str, path: str) -> None:
