@@ -1,7 +1,7 @@
 """Conversations from messages that quote each other: quotes link a message to the one it answers, and then go.
 
 Lines are told apart by their quote level. Runs of one level are passages; each paragraph of a passage, and each of its lines,
-is normalised and hashed. The first message of the same conversation whose own text holds the hash is the quoted one. A
+is normalised and hashed. The last message before in the same conversation whose own text holds the hash is the quoted one. A
 message answers the one that most of its passages of the lowest linked level come from; answers form threads.
 """
 
@@ -12,7 +12,7 @@ import unicodedata
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslake.llm.common import whole_text
@@ -20,7 +20,7 @@ from corpuslake.stages import Stages
 
 _QUOTE = re.compile(r"(?:[ \t]{0,3}>)+[ \t]?")
 #: Lines that announce a quote, if one follows.
-_ANNOUNCES = re.compile(r"^.{0,200}\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.I)
+_ANNOUNCES = re.compile(r"^.*\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.I)
 
 
 def level(line: str) -> tuple[int, str]:
@@ -29,14 +29,18 @@ def level(line: str) -> tuple[int, str]:
     return (found[0].count(">"), line[found.end() :]) if found else (0, line)
 
 
-def key(text: str, least: int) -> bytes | None:
+def key(text: str, least: int = 1) -> bytes | None:
     """Hash of the text without differences of case, width and white space; None if fewer than ``least`` characters are left."""
     text = " ".join(unicodedata.normalize("NFKC", text).casefold().split())
     return xxhash.xxh3_128_digest(text.encode()) if len(text) >= least else None
 
 
 def parse(text: str, least: int) -> tuple[str, list[tuple[int, bytes]]]:
-    """The message's own text, and (level, key) of each passage's paragraphs and lines; own ones have level 0."""
+    """The message's own text, and (level, key) of each passage's paragraphs and lines; own ones have level 0.
+
+    Units under ``least`` characters count only as a whole: of own ones the whole message, of quoted ones a whole paragraph. So a short
+    paragraph is linked with a message that says nothing else.
+    """
     lines = [level(line) for line in text.split("\n")]
     announced = set()
     for k, (depth, line) in enumerate(lines):
@@ -53,18 +57,35 @@ def parse(text: str, least: int) -> tuple[str, list[tuple[int, bytes]]]:
         depth = d
         if line.strip() and k not in announced and d >= 0:
             run.append(line)
-    keys = dict.fromkeys(
-        (d, h)
-        for d, run in passages
-        for unit in ([" ".join(run)] if len(run) == 1 else [" ".join(run), *run])
-        if (h := key(unit, least))
-    )
+    keys = dict.fromkeys([(0, h)] if (h := key(" ".join(own))) else [])
+    for d, run in passages:
+        whole = key(" ".join(run), 1 if d else least)
+        lines_of_run = [key(line, least) for line in run] if len(run) > 1 else []
+        keys.update(dict.fromkeys((d, h) for h in (whole, *lines_of_run) if h))
     return "\n".join(own).strip("\n"), list(keys)
 
 
+_BLOCK_BITS = 10  # messages of a conversation that are looked at together
 _PARSED = pa.schema([("level", pa.int32()), ("key", pa.binary())])
 
 
+def _nearest_holders(units: DataFrame) -> DataFrame:
+    """``scope, message, level, origin`` of each quoted unit: the last message before whose own text holds it.
+
+    Messages of one unit are looked at in blocks; what earlier blocks hold comes from one row per block.
+    """
+    events = units.distinct().select(
+        "scope", "key", "message", "level", F.when(F.col("level") == 0, F.col("message")).alias("holder"),
+        F.shiftright("message", _BLOCK_BITS).alias("block"),
+    )
+    within = Window.partitionBy("scope", "key", "block").orderBy("message").rangeBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("scope", "key").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
+    blocks = events.groupBy("scope", "key", "block").agg(F.max("holder").alias("last"))
+    blocks = blocks.withColumn("carried", F.max("last").over(earlier)).drop("last")
+    told = events.withColumn("here", F.max("holder").over(within)).where("level > 0").join(blocks, ["scope", "key", "block"])
+    return told.select("scope", "message", "level", F.coalesce("here", "carried").alias("origin")).where("origin is not null")
+
+
 def _threads(answers: DataFrame, stages: Stages) -> DataFrame:
     """``scope, message, root, level`` of each message that answers another, by doubling: a round halves the way to the root.
 
@@ -96,8 +117,8 @@ def link_quotations(
 ) -> DataFrame:
     """``scope, message, author, text, n_quoted, n_linked, reply_to, thread, level``, in order of scope, thread and message.
 
-    ``message`` numbers a conversation's messages in time. ``text`` is without quotes and the lines that announce them; passages under
-    ``least`` characters link nothing. ``reply_to`` is the earlier message answered, null if none is found; ``thread`` is the
+    ``message`` numbers a conversation's messages in time. ``text`` is without quotes and the lines that announce them; a paragraph
+    under ``least`` characters is linked only with a message that says nothing else. ``reply_to`` is the earlier message answered, null if none is found; ``thread`` is the
     message at the start of the answers and ``level`` the number of answers in between, so that sorted rows have each message after
     the one it answers.
 
@@ -125,10 +146,7 @@ def link_quotations(
 
     units = rows.where(F.col("scope").isNotNull() & F.col("message").isNotNull())
     units = units.select("scope", "message", F.explode("units").alias("u")).select("scope", "message", "u.*")
-    # One row for each text of a conversation, so that a passage in many messages meets one original. Written, so that
-    # the join has a plain shuffle on both sides, and Spark can split what one frequent passage brings.
-    own = stages.keep(units.where("level = 0").groupBy("scope", "key").agg(F.min("message").alias("origin")))
-    quoted = units.where("level > 0").join(own, ["scope", "key"]).where(F.col("origin") < F.col("message"))
+    quoted = _nearest_holders(units)
     votes = quoted.groupBy("scope", "message", "level", "origin").agg(F.count("*").alias("n"))
     votes = votes.groupBy("scope", "message").agg(
         F.sum("n").alias("n_linked"),

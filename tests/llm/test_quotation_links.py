@@ -1,3 +1,5 @@
+import random
+
 from corpuslake.llm import quotation_links as ql
 from corpuslake.stages import Stages
 
@@ -49,6 +51,72 @@ def test_turns_as_mail_come_back(spark):
         assert r.reply_to == (r.message - 1 if r.message else None) and r.level == r.message
 
 
+def test_short_messages(spark):
+    rows = [(1, 0, "x", "A first message of some length."), (1, 1, "y", "Yes."),
+            (1, 2, "x", mail("And then?", (1, "Yes."), (2, "A first message of some length."))),
+            (2, 0, "x", "It is noon."), (2, 1, "y", mail("So it is.", (1, "it is  NOON."))), (2, 2, "x", "Yes."), (2, 3, "y", "Yes."),
+            (2, 4, "x", mail("Well, well.", (1, "Yes."))), (2, 5, "x", mail("No.", (1, "Well"))),
+            (3, 0, "x", "x" * 300), (3, 1, "y", "z" * 5000 + " wrote:\n> " + "x" * 300 + "\nindeed")]
+    got = {(r.scope, r.message): r for r in ql.link_quotations(spark.createDataFrame(rows, TURNS), Stages(spark)).collect()}
+    assert {k: r.reply_to for k, r in got.items() if r.reply_to is not None} == {(1, 2): 1, (2, 1): 0, (2, 4): 3, (3, 1): 0}
+    assert got[3, 1].text == "indeed"
+
+
+def brute(rows):
+    """reply_to of each message, from its paragraphs and lines as they are."""
+
+    def plain(t):
+        return " ".join(t.lower().split())
+
+    def units(lines, quoted):
+        runs, run = [], []
+        for x in [*lines, ""]:
+            if x.strip():
+                run.append(x)
+            elif run:
+                runs.append(run)
+                run = []
+        out = {plain(" ".join(r)) for r in runs if quoted or len(plain(" ".join(r))) >= 12}
+        return out | {plain(x) for r in runs for x in r if len(r) > 1 and len(plain(x)) >= 12}
+
+    own, quotes = {}, {}
+    for c, m, _, text in rows:
+        split = [ql.level(x) for x in text.split("\n")]
+        mine = [x for d, x in split if d == 0]
+        own[c, m] = units(mine, False) | ({plain(" ".join(mine))} - {""})
+        for d in {d for d, _ in split if d}:
+            quotes.setdefault((c, m), {})[d] = units([x if e == d else "" for e, x in split], True)
+    out = {}
+    for (c, m), by_level in quotes.items():
+        for d in sorted(by_level):
+            found = [max((o for k, o in own if k == c and o < m and u in own[k, o]), default=None) for u in by_level[d]]
+            found = [f for f in found if f is not None]
+            if found:
+                out[c, m] = max((found.count(f), f) for f in found)[1]
+                break
+    return out
+
+
+def test_random_mail_equals_brute_force(spark):
+    rng = random.Random(8)
+    phrases = ["Yes.", "No", "It is noon.", "A sentence that is long enough", "Another one, of some length", "a third, longer sentence here", "x"]
+    rows = []
+    for c in range(6):
+        said = {}
+        for m in range(40):
+            k = 1000 * m + c  # several blocks
+            said[k] = [rng.choice(phrases) + rng.choice(["", "", f" {rng.randrange(4)}"]) for _ in range(rng.randint(1, 3))]
+            text = rng.choice(["\n", "\n\n"]).join(said[k])
+            for d in (1, 2):
+                if m and rng.random() < 0.6:
+                    quoted = rng.choice(list(said.values()))
+                    text += "\n\n" + "\n".join("> " * d + x for x in quoted[: rng.randint(1, 3)])
+            rows.append((c, k, "x", text))
+    got = ql.link_quotations(spark.createDataFrame(rows, TURNS), Stages(spark)).collect()
+    want = brute(rows)
+    assert {(r.scope, r.message): r.reply_to for r in got if r.reply_to is not None} == want and len(want) > 100
+
+
 def test_levels():
     assert ql.level("> > a") == (2, "a") and ql.level(">>b") == (2, "b") and ql.level("a > b") == (0, "a > b")
     assert ql.level("  > c") == (1, "c")
