@@ -41,9 +41,9 @@ def tokenizer(path: str):
 
 
 @cache
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, most: int = 1_000_000) -> WordEncoder:
     """One for all tasks of a process, so that later tasks find the words of earlier ones."""
-    return WordEncoder(path)
+    return WordEncoder(path, most)
 
 
 class WordEncoder:
@@ -285,11 +285,11 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _cut(path: str, window: int, end_id: int):
+def _cut(path: str, window: int, end_id: int, kept_words: int):
     """Documents to full windows and rests, each with its rank among those of its length in the task."""
 
     def cut(batches):
-        words, part = encoder(path), TaskContext.get().partitionId()
+        words, part = encoder(path, kept_words), TaskContext.get().partitionId()
         ranks = [0] * (window + 1)
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
@@ -365,15 +365,17 @@ def pack(
     end_id: int = 0,
     doc_id: str = "doc_id",
     text: str = "text",
+    kept_words: int = 1_000_000,
 ) -> DataFrame:
     """Pieces ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``; each token lies in exactly one.
 
     A document is its ids and ``end_id``. Null text is an empty one: one token. Rows without a doc_id and repeated rows are packed as documents
     of their own. Only the two columns are read, so others can't clash. An empty table gives no pieces. ``window`` is
-    a power of two. Sequences are full, but for at most log2(window) last ones, whose lengths are powers of two.
+    a power of two. Sequences are full, but for at most log2(window) last ones, whose lengths are powers of two. A worker keeps the ids
+    of ``kept_words`` words (about 200 bytes each) to save encoding them again.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(F.col(text)).alias("text"))
-    pieces = stages.keep(rows.mapInArrow(_cut(tokenizer_path, window, end_id), _PIECE_SQL))
+    pieces = stages.keep(rows.mapInArrow(_cut(tokenizer_path, window, end_id, kept_words), _PIECE_SQL))
     parts = pieces.groupBy("part", "length").count()
     # At most ``window`` rows.
     counts = np.zeros(window + 1, np.int64)
