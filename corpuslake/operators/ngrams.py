@@ -88,6 +88,39 @@ def hot_ngrams(occurrences: DataFrame, keys: Sequence[str], more_than: int) -> D
     return count_ngrams(occurrences, keys).where(F.col("count") > more_than)
 
 
+def in_runs(
+    occurrences: DataFrame, keys: Sequence[str], total: int | None, hot_run: int
+) -> tuple[DataFrame, list[str]]:
+    """Occurrences and the columns that, beside ``__h`` (a hash of the keys) and the keys, tell runs apart that one sort can hold.
+
+    If ``total`` is over ``hot_run``, ``__hot`` is the count of an n-gram whose occurrences are split, and null for any other.
+    """
+    if total is None:
+        total = occurrences.count()
+    # The hash leads the sort: it tells n-grams apart in its first eight bytes. The keys follow, so
+    # equal hashes do no harm.
+    rows = occurrences.withColumn("__h", F.xxhash64(*keys))
+    if total <= hot_run:
+        return rows, []
+    limit = max(hot_run, total // HOT_KEYS)
+    hot = hot_ngrams(occurrences, keys, limit).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("count").alias("__hot")
+    )
+    # Fewer than HOT_KEYS rows, by the choice of the limit.
+    spread = rows.join(
+        F.broadcast(hot), same([F.col(k) for k in keys], [F.col(f"__k{i}") for i in range(len(keys))]), "left"
+    ).drop(*[f"__k{i}" for i in range(len(keys))])
+    width = max(limit, total >> 16)
+    salt = F.when(F.col("__hot").isNotNull(), F.floor(F.col("idx") / width)).otherwise(F.lit(-1))
+    return spread.withColumn("__salt", salt), ["__salt"]
+
+
+def rounded_arf(far: Column, near: Column) -> Column:
+    """ARF from the number of gaps of at least v and the sum of the others, beside ``count`` and ``corpus_size``."""
+    arf = far + near.cast("double") * F.col("count") / F.col("corpus_size")
+    return F.floor(arf * 1000 + 0.5) / F.lit(1000.0)
+
+
 def count_with_arf(
     occurrences: DataFrame, keys: Sequence[str], total: int | None = None, hot_run: int = HOT_RUN
 ) -> DataFrame:
@@ -102,28 +135,8 @@ def count_with_arf(
     (or over a 1/HOT_KEYS share, so fewer than HOT_KEYS of them) are counted first and their
     occurrences split by blocks of ``idx``, which are then joined end to end.
     """
-    if total is None:
-        total = occurrences.count()
-    # The hash leads the sort: it tells n-grams apart in its first eight bytes. The keys follow, so
-    # equal hashes do no harm.
-    rows = occurrences.withColumn("__h", F.xxhash64(*keys))
-    ids = ["__h", *keys]
-    if total <= hot_run:
-        spread, salt, known = rows, [], None
-    else:
-        limit = max(hot_run, total // HOT_KEYS)
-        hot = hot_ngrams(occurrences, keys, limit).select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("count").alias("__hot")
-        )
-        # Fewer than HOT_KEYS rows, by the choice of the limit.
-        spread = rows.join(
-            F.broadcast(hot), same([F.col(k) for k in keys], [F.col(f"__k{i}") for i in range(len(keys))]), "left"
-        ).drop(*[f"__k{i}" for i in range(len(keys))])
-        width = max(limit, total >> 16)
-        spread = spread.withColumn(
-            "__salt", F.when(F.col("__hot").isNotNull(), F.floor(F.col("idx") / width)).otherwise(F.lit(-1))
-        )
-        salt, known = ["__salt"], F.col("__hot")
+    spread, salt = in_runs(occurrences, keys, total, hot_run)
+    ids, known = ["__h", *keys], F.col("__hot") if salt else None
 
     # One order for both, so the occurrences are sorted once.
     group = Window.partitionBy(*ids, *salt).orderBy("idx")
@@ -166,8 +179,7 @@ def count_with_arf(
         (F.col("__near") + F.when(near, around).otherwise(0)).alias("__near"),
         (F.col("__far") + F.when(near, 0).otherwise(1)).alias("__far"),
     )
-    arf = F.col("__far") + F.col("__near").cast("double") * F.col("count") / F.col("corpus_size")
-    return closed.select(*keys, "count", (F.floor(arf * 1000 + 0.5) / F.lit(1000.0)).alias("arf"))
+    return closed.select(*keys, "count", rounded_arf(F.col("__far"), F.col("__near")).alias("arf"))
 
 
 def frequency_table(counts: DataFrame, spec: NgramSpec) -> DataFrame:

@@ -17,6 +17,7 @@ from corpuslake.operators import search
 from corpuslake.operators import structure as st
 from corpuslake.operators import tokens as tk
 from corpuslake.operators import units
+from corpuslake.operators.gaps import gap_rows
 from corpuslake.operators.structure import TooManyErrors
 from corpuslake.plans import corpora as cp
 from corpuslake.plans.extraction import extract
@@ -70,6 +71,22 @@ def bigram_arf_hot(spark, sf_dir):
     return _bigram_arf(spark, sf_dir, hot_run=200)
 
 
+@query
+def bigram_arf_append(spark, sf_dir):
+    """The same of corpora stored in two halves; the second is appended without reading the first one's tokens."""
+    stages, (spec, rules) = Stages(spark), _rules(VertColumn(0, "", "lemma"), size=2)
+    target, texts = sink.Target(stages.folder(), "documents"), cp.document_tokens(spark, sf_dir)
+    middle = cp.documents(spark, sf_dir).agg(F.floor((F.min("doc_id") + F.max("doc_id")) / 2)).first()[0] or 0
+    for k, half in enumerate((F.col("doc_id") <= middle, F.col("doc_id") > middle)):
+        some = texts.where(half)
+        lengths = stages.keep(text_lengths(some, cp.TEXT_ORDER))
+        sizes = lengths.groupBy("corpus_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).withColumn("corpus_size", F.col("tokens"))
+        total = lengths.agg(F.sum("n")).first()[0] or 0
+        occurrences = ng.from_arrays(with_token_offsets(some, cp.TEXT_ORDER, lengths), 2, rules, base="base")
+        sink.write_arf(gap_rows(occurrences, ["corpus_id", "col0"], total), sizes, spec, target, append=k > 0)
+    return sink.read(spark, target, target.frequencies).withColumn("ngram_size", F.col("ngram_size").cast("int"))
+
+
 @query
 def trigram_counts(spark, sf_dir):
     _, rules = _rules(VertColumn(0, "toLower"), size=3)

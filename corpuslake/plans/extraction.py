@@ -14,6 +14,7 @@ from corpuslake.functions.modifiers import modifier_chain
 from corpuslake.operators import ngrams as ng
 from corpuslake.operators import structure as st
 from corpuslake.operators import tokens as tk
+from corpuslake.operators.gaps import gap_rows
 from corpuslake.operators.ordered import Order
 from corpuslake.operators.units import duplicate_items
 from corpuslake.sinks import snapshots
@@ -30,6 +31,9 @@ class Extraction:
     frequencies: DataFrame | None
     errors: DataFrame
     n_tokens: int | None
+    # For an ARF: the n-grams with their place among the tokens counted.
+    occurrences: DataFrame | None = None
+    counted: int | None = None
 
 
 def build(
@@ -66,7 +70,7 @@ def build(
     errors = [st.structure_errors(events if spec.nested else resolved, spec, order, keep)]
     if join:
         errors.append(st.item_id_errors(resolved, spec, join, order))
-    frequencies = None
+    frequencies = occurrences = counted = None
     if ngrams:
         if token_filter is None:
             tokens = tokens.select(*order.place, *[e.alias(c) for c, e in named.items()])
@@ -76,12 +80,13 @@ def build(
         grams = ng.from_rows(indexed, ngrams.size, {c: F.col(c) for c in ngrams.names})
         keys = ["corpus_id", *ngrams.names]
         if ngrams.arf:
+            occurrences = grams
             counts = ng.count_with_arf(grams.withColumn("corpus_size", F.lit(n_tokens).cast("long")), keys, counted)
         else:
             counts = ng.count_ngrams(grams, keys)
         frequencies = ng.frequency_table(counts, ngrams)
     units = st.unit_rows(marked, spec, join, order, poscount_scope, keep_bare)
-    return Extraction(units, frequencies, st.all_errors(*errors), n_tokens)
+    return Extraction(units, frequencies, st.all_errors(*errors), n_tokens, occurrences, counted)
 
 
 def token_columns(ngrams: NgramSpec | None) -> dict[str, Column]:
@@ -110,7 +115,8 @@ def extract(
     removing text units older than ``remove_before`` by ``date_attr``. The same input of a corpus again is refused
     (``repeat="refuse"``), or the corpus is replaced by it (``repeat="replace"``). All changes count at once, when a snapshot names
     them; nothing changes if the job fails, if the input has more than ``max_errors`` errors (a tag in error is left out), or if
-    another job has changed the tables meanwhile. ``options`` are those of ``build``.
+    another job has changed the tables meanwhile. More text of a stored corpus follows the text before; its n-grams must have an ARF
+    if those stored have one, which is then that of the whole corpus. ``options`` are those of ``build``.
     """
     if (date_attr is None) != (remove_before is None):
         raise ValueError("a moving window needs both date_attr and remove_before")
@@ -133,7 +139,7 @@ def extract(
         units = stages.keep(made.units)
         add, drop = [], []
         if not append:
-            drop += [*before.of(sink.UNITS), *before.of(sink.FREQUENCIES)]
+            drop += before.of_any((sink.UNITS, *sink.COUNTED))
         elif known:
             add, drop = sink.corpus_parts(spark, target, before, target.corpus)
         left = before.with_parts(add, drop)
@@ -148,7 +154,13 @@ def extract(
             if twice := duplicate_items(named).take(1):
                 raise ValueError(f"item id {twice[0]['item_id']} is not unique in {twice[0]['corpus_id']}")
         add.append(sink.units_part(units, target, [source]))
-        if made.frequencies is not None:
+        if made.occurrences is not None:
+            ngrams = options["ngrams"]
+            gaps = gap_rows(made.occurrences, ["corpus_id", *ngrams.names], made.counted)
+            sizes = spark.createDataFrame([(target.corpus, made.counted, made.n_tokens)], "corpus_id string, tokens long, corpus_size long")
+            more, less = sink.arf_parts(gaps, sizes, ngrams, target, left, [source])
+            add, drop = [p for p in add if p not in less] + more, drop + less
+        elif made.frequencies is not None:
             more, less = sink.merged_frequencies(spark, stages.keep(made.frequencies), target, left, [source])
             add, drop = [p for p in add if p not in less] + more, drop + less
         snapshots.publish(spark, target.log, before.with_parts(add, drop))

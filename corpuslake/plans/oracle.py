@@ -297,5 +297,5 @@ SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER) AS line,
 FROM seqd WHERE digit = 1"""
 ORACLE_SQL["sink_units"], ORACLE_SQL["sink_frequencies"] = ORACLE_SQL["sink_units_all"], ORACLE_SQL["sink_frequencies_all"]
 ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_lines_parse"]
-ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf"]
+ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf_append"] = ORACLE_SQL["bigram_arf"]
 ORACLE_SQL["ngram_ipm_many"] = ORACLE_SQL["ngram_ipm"]

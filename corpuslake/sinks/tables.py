@@ -10,14 +10,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslake.operators.ngrams import distinct_values
+from corpuslake.config import NgramSpec
+from corpuslake.operators.gaps import count_of_gaps, moved
+from corpuslake.operators.ngrams import ARF_OFF, distinct_values, frequency_table
 from corpuslake.operators.units import expired
 from corpuslake.sinks import snapshots
 from corpuslake.sinks.snapshots import Part, Snapshot
+from corpuslake.sources.tables import PerCorpus
 
 UNITS, FREQUENCIES, TOKENS, FEATS, REJECTED = (
     "liveattrs_entry", "colcounts", "livetokens", "livetokens_udfeats", "livetokens_rejected"
 )
+# What an ARF is made of: gaps between occurrences, and the tokens of each input.
+GAPS, SIZES = "colcounts_gaps", "colcounts_sizes"
+COUNTED = (FREQUENCIES, GAPS, SIZES)
 
 
 class Repeated(ValueError):
@@ -48,6 +54,14 @@ class Target:
     def frequencies(self) -> str:
         return self.path(FREQUENCIES)
 
+    @property
+    def gaps(self) -> str:
+        return self.path(GAPS)
+
+    @property
+    def sizes(self) -> str:
+        return self.path(SIZES)
+
     @property
     def tokens(self) -> str:
         return self.path(TOKENS)
@@ -120,7 +134,7 @@ def merged_frequencies(
 ) -> tuple[list[Part], list[Part]]:
     """(parts to add, parts to drop) for new counts of n-grams: (corpus_id, ngram_size, columns) stays unique.
 
-    Counts of corpora that are stored already are added up. Their ARF needs all occurrences, so counts with an ARF can't be added.
+    Counts of corpora that are stored already are added up. Counts with an ARF come from gaps (``arf_parts``) and can't be added here.
     """
     corpora = _corpora(table)
     held = [p for p in before.of(FREQUENCIES) if set(p.corpora) & set(corpora)]
@@ -129,13 +143,49 @@ def merged_frequencies(
     stored = snapshots.rows(spark, target.frequencies, held, target.format)
     both = table.withColumn("ngram_size", F.col("ngram_size").cast("string")).unionByName(stored)
     if both.where(F.col("arf") != -1).limit(1).count():
-        raise ValueError("the ARF of a stored corpus can't be added to; read all its texts in one job")
+        raise ValueError("counts with and without an ARF can't be added")
     keys = [c for c in table.columns if c not in ("count", "arf")]
     summed = both.groupBy(*keys).agg(F.sum("count").alias("count"), F.max("arf").alias("arf")).select(*table.columns)
     known = {s for p in held for s in p.sources}
     return frequency_parts(summed, target, sorted(known | set(sources))), held
 
 
+def arf_parts(
+    gaps: DataFrame, sizes: DataFrame, spec: NgramSpec, target: Target, before: Snapshot, sources: Sequence[str] = ()
+) -> tuple[list[Part], list[Part]]:
+    """(parts to add, parts to drop) for new text, given by its ``gap_rows`` and the ``tokens`` and ``corpus_size`` of each corpus.
+
+    New text follows what is stored of its corpus. Its gaps are stored beside those of the text before, which is not read again,
+    and the counts and ARF of its corpora are made anew from all gaps.
+    """
+    spark, corpora = gaps.sparkSession, _corpora(sizes)
+    mine = F.col("corpus_id").isin(corpora) & (F.col("ngram_size").cast("int") == spec.size)
+    held = {t: [p for p in before.of(t) if set(p.corpora) & set(corpora)] for t in (FREQUENCIES, GAPS, SIZES)}
+    if held[FREQUENCIES]:
+        stored = snapshots.rows(spark, target.frequencies, held[FREQUENCIES], target.format)
+        if stored.where(mine & (F.col("arf") == ARF_OFF)).limit(1).count():
+            raise ValueError("counts without an ARF can't be given one; read all texts of the corpus in one job")
+    size, old = F.lit(spec.size).cast("int").alias("ngram_size"), F.lit(0).cast("long").alias("before")
+    sizes = sizes.select("corpus_id", "tokens", "corpus_size", size)
+    known = sizes.withColumn("before", old)
+    if held[SIZES]:
+        stored = snapshots.rows(spark, target.sizes, held[SIZES], target.format).where(mine)
+        known = known.unionByName(stored.withColumn("before", F.col("tokens")))
+    # One row per corpus; a broadcast if they are few.
+    place = PerCorpus.of(known, ["corpus_id"], before=F.sum("before"), corpus_size=F.sum("corpus_size"))
+    keys = ["corpus_id", *spec.names]
+    placed = moved(place.attach(gaps, spec.names).drop("corpus_size"), "before").withColumn("ngram_size", size)
+    add = [
+        snapshots.written(sizes, target.sizes, SIZES, corpora, sources, target.format),
+        snapshots.written(placed, target.gaps, GAPS, corpora, sources, target.format),
+    ]
+    everything = snapshots.rows(spark, target.gaps, [*held[GAPS], add[1]], target.format).where(mine)
+    counts = count_of_gaps(place.attach(everything, spec.names).drop("before"), keys)
+    more, drop, _ = snapshots.rewritten(spark, target.frequencies, held[FREQUENCIES], mine, target.format, ("ngram_size",))
+    from_all = sorted({s for p in held[GAPS] for s in p.sources} | set(sources))
+    return [*add, *more, *frequency_parts(frequency_table(counts, spec), target, from_all)], drop
+
+
 def write_units(units: DataFrame, target: Target, append: bool = False) -> None:
     spark = units.sparkSession
     before = snapshot(spark, target)
@@ -150,10 +200,19 @@ def write_frequencies(table: DataFrame, target: Target, append: bool = False) ->
     if append:
         add, drop = merged_frequencies(spark, table, target, before)
     else:
-        add, drop = frequency_parts(table, target), before.of(FREQUENCIES)
+        add, drop = frequency_parts(table, target), before.of_any(COUNTED)
     snapshots.publish(spark, target.log, before.with_parts(add, drop))
 
 
+def write_arf(gaps: DataFrame, sizes: DataFrame, spec: NgramSpec, target: Target, append: bool = False) -> None:
+    """Counts and ARF of n-grams (see ``arf_parts``); ``append`` continues corpora that are stored already."""
+    spark = gaps.sparkSession
+    before = snapshot(spark, target)
+    gone = [] if append else before.of_any(COUNTED)
+    add, drop = arf_parts(gaps, sizes, spec, target, before.with_parts(drop=gone))
+    snapshots.publish(spark, target.log, before.with_parts(add, [*drop, *gone]))
+
+
 def write_livetokens(tokens: DataFrame, feats: DataFrame, target: Target, rejected: DataFrame | None = None) -> None:
     """Replaces these tables at once. Features are sorted in each file, so that a search skips most of it."""
     spark = tokens.sparkSession
@@ -186,9 +245,9 @@ def remove_older(spark: SparkSession, target: Target, date_attr: str, oldest: dt
 def corpus_parts(spark: SparkSession, target: Target, before: Snapshot, corpus: str) -> tuple[list[Part], list[Part]]:
     """(parts to add, parts to drop) to take a corpus out of units and n-grams."""
     add, drop = [], []
-    for table, path, by in ((UNITS, target.units, ()), (FREQUENCIES, target.frequencies, ("ngram_size",))):
-        held = before.of(table, corpus)
-        more, less, _ = snapshots.rewritten(spark, path, held, F.col("corpus_id") == corpus, target.format, by)
+    for table in (UNITS, *COUNTED):
+        held, by = before.of(table, corpus), ("ngram_size",) if table == FREQUENCIES else ()
+        more, less, _ = snapshots.rewritten(spark, target.path(table), held, F.col("corpus_id") == corpus, target.format, by)
         add += more
         drop += less
     return add, drop

@@ -1,11 +1,14 @@
 import random
 from collections import Counter
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sequential import run
 
 from corpuslake import NgramSpec, VertColumn
+from corpuslake.operators import gaps
 from corpuslake.operators import ngrams as ng
 from corpuslake.operators.ordered import Order, scan
 from corpuslake.sources.tables import corpus_sizes, text_tokens, with_token_offsets
@@ -32,6 +35,24 @@ def test_arf_of_frequent_words_in_blocks(spark, monkeypatch, hot_run):
     assert {r["col0"]: (r["count"], r["arf"]) for r in got.collect()} == {g: (n, arf[g]) for g, n in grams.items()}
 
 
+@pytest.mark.parametrize("hot_run, cuts", [(10**6, [300]), (10**6, [0, 1, 650]), (5, [333, 334]), (40, [])])
+def test_arf_of_gaps_of_parts(spark, monkeypatch, hot_run, cuts):
+    """Gaps of parts, each counted from 0 and moved to its place, give the ARF of the whole."""
+    tokens, keys = words(700, 5), ["corpus_id", "col0"]
+    monkeypatch.setattr(ng, "HOT_KEYS", 50)
+    parts = []
+    for a, b in zip([0, *cuts], [*cuts, len(tokens)]):
+        rows = gaps.gap_rows(occurrences(spark, tokens[a:b], 0), keys, b - a, hot_run)
+        parts.append(gaps.moved(rows.withColumn("before", F.lit(a)), "before"))
+    whole = reduce(DataFrame.unionByName, parts).withColumn("corpus_size", F.lit(700))
+    got = gaps.count_of_gaps(whole, keys).collect()
+    _, grams, arf, _ = run(tokens, {}, "p", size=1)
+    assert {r["col0"]: (r["count"], r["arf"]) for r in got} == {g: (n, arf[g]) for g, n in grams.items()}
+    # However many runs there are, a gap of an n-gram is one row in each part.
+    named = [p.where("gap IS NOT NULL").groupBy(*keys, "gap").count().where("count > 1").count() for p in parts]
+    assert not any(named)
+
+
 def test_hot_ngrams_are_few(spark):
     hot = ng.hot_ngrams(occurrences(spark, words(700), 700), ["corpus_id", "col0"], 700 // 3)
     assert hot.count() < 3

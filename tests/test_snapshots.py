@@ -46,6 +46,38 @@ def test_the_same_input_again(spark, tmp_path):
     assert stored(spark, en) == (units, counts)
 
 
+def frequencies(spark, out):
+    return sorted((r.corpus_id, r.col0, r["count"], r.arf, r.hash_id) for r in sink.read(spark, out, out.frequencies).collect())
+
+
+def test_arf_of_a_corpus_that_grows(spark, tmp_path):
+    """Parts that are appended give the counts and ARF of one job over all files, also for a corpus that is replaced."""
+    en, cs = target(tmp_path, "en"), target(tmp_path, "cs")
+    one = sink.Target(f"file:{tmp_path}/one", "en", group="aligned")
+    grams = NgramSpec(2, [VertColumn(0, "toLower")], arf=True)
+    a = write(tmp_path / "a", ("1", "2020-01-05", "the cat the cat the dog"), ("2", "2021-01-05", "the cat"))
+    b = write(tmp_path / "b", ("3", "2021-02-01", "a the cat a the dog the cat"))
+    c = write(tmp_path / "c", ("4", "2021-02-01", "the dog the dog the dog"), ("5", "2021-02-01", "one"))
+    extract(spark, one, SPEC, files=[a, b, c], ngrams=grams)
+    extract(spark, en, SPEC, file=a, ngrams=grams)
+    extract(spark, cs, SPEC, file=c, append=True, ngrams=grams)
+    other = [r for r in frequencies(spark, cs) if r[0] == "cs"]
+    for file in (b, c):
+        extract(spark, en, SPEC, file=file, append=True, ngrams=grams)
+    whole = frequencies(spark, one)
+    assert frequencies(spark, en) == sorted(whole + other) and any(r[3] not in (1.0, r[2]) for r in whole)
+    # Counts without an ARF don't mix with these, and nothing is stored then.
+    with pytest.raises(ValueError, match="ARF"):
+        extract(spark, en, SPEC, file=write(tmp_path / "d", ("6", "2020-01-05", "x y")), append=True, ngrams=NgramSpec(2, [VertColumn(0, "toLower")]))
+    assert frequencies(spark, en) == sorted(whole + other)
+    # A corpus replaced by one of its inputs begins anew.
+    extract(spark, en, SPEC, file=c, append=True, ngrams=grams, repeat="replace")
+    assert frequencies(spark, en) == sorted([("en", *r[1:]) for r in other] + other)
+    # A create without n-grams leaves no gaps to go on from.
+    extract(spark, en, SPEC, file=a)
+    assert not sink.snapshot(spark, en).of_any(sink.COUNTED)
+
+
 def test_create_clears_both_tables(spark, tmp_path):
     en = target(tmp_path, "en")
     a = write(tmp_path / "a", ("en1", "2020-01-05", "the cat"))
