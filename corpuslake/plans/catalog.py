@@ -290,6 +290,23 @@ def nested_structure_errors(spark, sf_dir):
     return errors.select("corpus_id", F.col("pos.doc_id").alias("doc_id"), F.col("pos.seq").alias("line"), "message")
 
 
+@query
+def error_budgets(spark, sf_dir):
+    """Whether a job over the same lines ends early: with a budget of all their errors, and with one error less."""
+    keep = Stages(spark).keep
+    events = _nested_events(spark, sf_dir, _misclosed_paragraph, keep)
+    errors = st.structure_errors(events, _DOC_DIV_P, cp.LINE_ORDER, keep).count()
+    rows = []
+    for most in (errors, errors - 1):
+        budget, stopped = st.Budget(keep, most), False
+        try:
+            st.resolve(events, _DOC_DIV_P, cp.LINE_ORDER, budget)
+        except TooManyErrors:
+            stopped = True
+        rows.append((most, budget.found, stopped))
+    return spark.createDataFrame(rows, "budget long, errors long, stopped boolean")
+
+
 @query
 def structure_errors(spark, sf_dir):
     """Paragraphs without a final stop are left open, those with a digit close a ``q`` never opened.

@@ -48,13 +48,19 @@ def build(
     order: Order = ORDER,
     poscount_scope: str = "atom",
     keep_bare: bool = True,
+    max_errors: int | None = None,
 ) -> Extraction:
     """Both tables of the lines of one corpus.
 
     ``token_filter`` is a predicate on ``cols`` (the token's columns) and the structural attributes
-    named in ``filter_attrs``; only tokens that pass are counted, in every part of the result.
+    named in ``filter_attrs``; only tokens that pass are counted, in every part of the result. Structures with more than
+    ``max_errors`` errors end the job at the stage that finds them, before units and n-grams are made.
     """
     keep = stages.keep
+
+    def budgeted():
+        return keep if max_errors is None else st.Budget(keep, max_errors)
+
     named = token_columns(ngrams)
     tokens = token_lines(lines).select(*order.place, "cols")
     if token_filter is None:
@@ -62,10 +68,10 @@ def build(
     else:
         events = keep(struct_events(lines).withColumn("tok", F.lit(0).cast("long")))
         if filter_attrs:
-            tokens = tk.tokens_in_context(tokens, st.resolve(events, spec, order, keep), filter_attrs, order)
+            tokens = tk.tokens_in_context(tokens, st.resolve(events, spec, order, budgeted()), filter_attrs, order)
         tokens = keep(tokens.where(token_filter).select(*order.place, *[e.alias(c) for c, e in named.items()]))
         events = keep(tk.accepted_before_tags(tokens, events.drop("tok"), order))
-    resolved = st.resolve(events, spec, order, keep)
+    resolved = st.resolve(events, spec, order, budgeted())
     marked = keep(st.mark_units(resolved, spec, join, order))
     errors = [st.structure_errors(events if spec.nested else resolved, spec, order, keep)]
     if join:
@@ -134,7 +140,7 @@ def extract(
     lines = read_lines(spark, paths, target.corpus, encoding)
     stages = Stages(spark)
     try:
-        made = build(lines, spec, stages, **options)
+        made = build(lines, spec, stages, max_errors=max_errors, **options)
         errors = st.check_errors(made.errors, max_errors)
         units = stages.keep(made.units)
         add, drop = [], []

@@ -295,6 +295,9 @@ seqd AS (
 SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER) AS line,
        'close of div does not fit the innermost open element: <p>' AS message
 FROM seqd WHERE digit = 1"""
+ORACLE_SQL["error_budgets"] = f"""WITH found AS (SELECT count(*) AS n FROM ({ORACLE_SQL["nested_structure_errors"]}))
+SELECT n AS budget, n AS errors, false AS stopped FROM found
+UNION ALL SELECT n - 1, n, true FROM found"""
 ORACLE_SQL["sink_units"], ORACLE_SQL["sink_frequencies"] = ORACLE_SQL["sink_units_all"], ORACLE_SQL["sink_frequencies_all"]
 ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_lines_parse"]
 ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf_append"] = ORACLE_SQL["bigram_arf"]

@@ -142,7 +142,7 @@ def test_overlap_is_no_error_but_double_opening_is(spark, tmp_path):
 
 
 def test_wrong_nesting_is_an_error(spark, tmp_path):
-    spec = StructureSpec({}, "p", nested=True)
+    spec = StructureSpec({"doc": ["id"]}, "p", nested=True)
     got = messages(spark, tmp_path, ['<doc id="d">', "<p>", "</doc>", "</doc>"], spec)
     assert got[0] == "close of doc does not fit the innermost open element: <p>"
     # A close with nothing open is an error as well.
@@ -197,3 +197,26 @@ def test_error_budget(spark):
     assert st.check_errors(errors, 2) == 2
     with pytest.raises(st.TooManyErrors):
         st.check_errors(errors, 1)
+
+
+def test_budget_ends_a_job_early(spark, tmp_path):
+    """Errors of a chunk are counted when it is matched; coarser rounds, units and n-grams aren't reached."""
+    # The first error lies in one chunk, the second in an element that is open over many.
+    lines = ["<doc>", "<p>", "</s>", "</p>", *["w"] * 40, "<p>", *["w"] * 40, "</doc>", "</p>", "</doc>"]
+    spec = StructureSpec({"doc": ["id"]}, "p", nested=True)
+    def attempt(most):
+        rows = read_lines(spark, vertical(tmp_path, lines), "c1", chunk_bits=4)
+        events = struct_events(rows).withColumn("tok", F.lit(0))
+        budget = st.Budget(Stages(spark).keep, most)
+        try:
+            st.resolve(events, spec, keep=budget)
+        except st.TooManyErrors as e:
+            assert e.found == budget.found > most
+        return budget.found, budget.rounds
+
+    found, rounds = attempt(2)
+    assert found == 2 and rounds > 1
+    assert attempt(0) == (1, 1)
+    assert attempt(1) == (2, 2)
+    with pytest.raises(st.TooManyErrors):
+        extraction(spark, tmp_path, lines, StructureSpec({"doc": ["id"]}, "p"), max_errors=0)
