@@ -290,6 +290,23 @@ def nested_structure_errors(spark, sf_dir):
     return errors.select("corpus_id", F.col("pos.doc_id").alias("doc_id"), F.col("pos.seq").alias("line"), "message")
 
 
+_DOC_OPEN = StructureSpec({"doc": ["id"], "p": ["num"]}, "p", nested=True)
+
+
+@query
+def nested_far_errors(spark, sf_dir):
+    """Every second document is left open, and every other one closed twice: the second close fits an earlier document, if one is open."""
+    keep = Stages(spark).keep
+    lines = cp.document_lines(spark, sf_dir, cp.simple_paragraph())
+    # The last line of a document, not at all or twice.
+    times = F.when(F.col("line") != "</doc>", 1).when(F.col("pos.doc_id") % 2 != 0, 0).otherwise(2)
+    rows = lines.select("*", F.posexplode(F.array_repeat(F.lit(True), times)).alias("again", "__x"))
+    seq = F.col("seq") + F.col("again")
+    rows = rows.withColumns({"seq": seq, "pos": F.struct(F.col("pos.doc_id").alias("doc_id"), seq.alias("seq"))}).drop("again", "__x")
+    errors = st.structure_errors(keep(st.events_with_token_counts(rows, cp.LINE_ORDER)), _DOC_OPEN, cp.LINE_ORDER, keep)
+    return errors.select("corpus_id", F.col("pos.doc_id").alias("doc_id"), "message")
+
+
 @query
 def error_budgets(spark, sf_dir):
     """Whether a job over the same lines ends early: with a budget of all their errors, and with one error less."""

@@ -238,10 +238,10 @@ FROM (SELECT DISTINCT feats FROM tagged) LEFT JOIN sets ON feats = raw""",
     "livetokens_counts": f"WITH {COMBOS} SELECT * FROM combos",
     "livetokens_valid": f"WITH {COMBOS} SELECT *, {VALID} AS valid, {VALID_STRICT} AS valid_strict FROM combos",
     "livetokens_feats": f"WITH {LIVE} SELECT * FROM udfeats",
-    "search_tokens": f"""WITH {LIVE}
-SELECT lemma, tag, cnt, feats_key AS udfeats FROM live t
-WHERE tag = 'NNS' AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value = 'No')
-  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Len' AND value IN ('M', 'L'))""",
+    "search_tokens": f"""WITH {COMBOS}
+SELECT lemma, tag, cnt, feats_key AS udfeats FROM combos
+WHERE {VALID} AND tag = 'NNS' AND regexp_matches(feats_key, '(^|\\|)Cap=No(\\||$)')
+  AND regexp_matches(feats_key, '(^|\\|)Len=[ML](\\||$)')""",
     "search_total": f"""WITH {LIVE}
 SELECT count(*) AS total FROM live t
 WHERE tag IN ('NNP', 'VBG')
@@ -257,9 +257,9 @@ UNION ALL SELECT DISTINCT 'tag', tag FROM kept""",
 SELECT DISTINCT f.feat, f.value FROM live t JOIN udfeats f USING (token_id)
 WHERE tag IN ('NNS', 'NNP')
   AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value IN ('Yes', 'No'))""",
-    "search_feats_map": f"""WITH {LIVE}
+    "search_feats_map": f"""WITH {COMBOS}
 SELECT lemma, cnt, feats_key AS feats, CASE WHEN regexp_matches(feats_key, '(^|\\|)Suf=') THEN 'tion' END AS suffix
-FROM live t WHERE t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value = 'Yes')""",
+FROM combos WHERE {VALID} AND regexp_matches(feats_key, '(^|\\|)Cap=Yes(\\||$)')""",
     "available_values": f"""WITH {LIVE},
 kept AS (
   SELECT * FROM live t WHERE tag IN ('NNS', 'VBG')
@@ -295,6 +295,13 @@ seqd AS (
 SELECT corpus_id, doc_id, CAST(opens + n + 1 AS INTEGER) AS line,
        'close of div does not fit the innermost open element: <p>' AS message
 FROM seqd WHERE digit = 1"""
+ORACLE_SQL["nested_far_errors"] = """WITH walked AS (
+  SELECT coalesce(lang, '') AS corpus_id, doc_id, sum(CASE WHEN doc_id % 2 <> 0 THEN 1 ELSE -1 END) OVER w AS depth
+  FROM documents WINDOW w AS (PARTITION BY coalesce(lang, '') ORDER BY doc_id))
+SELECT corpus_id, doc_id, 'close of doc does not fit the innermost open element: none' AS message
+FROM (SELECT *, least(0, min(depth) OVER (PARTITION BY corpus_id ORDER BY doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS lowest FROM walked)
+WHERE depth < coalesce(lowest, 0)"""
 ORACLE_SQL["error_budgets"] = f"""WITH found AS (SELECT count(*) AS n FROM ({ORACLE_SQL["nested_structure_errors"]}))
 SELECT n AS budget, n AS errors, false AS stopped FROM found
 UNION ALL SELECT n - 1, n, true FROM found"""

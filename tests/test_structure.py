@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sequential import run, sha1
@@ -220,3 +221,45 @@ def test_budget_ends_a_job_early(spark, tmp_path):
     assert attempt(1) == (2, 2)
     with pytest.raises(st.TooManyErrors):
         extraction(spark, tmp_path, lines, StructureSpec({"doc": ["id"]}, "p"), max_errors=0)
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_elements_closed_files_later_like_the_model(spark, tmp_path, seed):
+    """Elements left open, stray closes and closes of another name, over files that are chunks of the last round."""
+    rng = random.Random(seed)
+    lines = [rng.choice(["<doc>", "<doc>", "<p>", "</doc>", "</p>", "</doc>", "w"]) for _ in range(240)]
+    spec = StructureSpec({"doc": ["id"], "p": ["id"]}, "p", "doc", nested=True)
+    rows = read_lines(spark, vertical(tmp_path, *[lines[k : k + 24] for k in range(0, 240, 24)]), "c1", chunk_bits=3)
+    made = build(rows, spec, Stages(spark))
+    units, _, _, errors = run(lines, {"doc": ["id"], "p": ["id"]}, "p", "doc", nested=True)
+    assert made.errors.count() == errors > 0
+    assert unit_rows(made, spec) == sorted(map(repr, units))
+
+
+def test_what_the_last_round_of_matching_reads(spark):
+    """An element left open in every chunk: only those that later closes can meet are matched again."""
+    opens = [("c", k, "open", k) for k in range(50)]
+    schema = "corpus_id string, span int, kind string, __pos int"
+
+    def left(rows):
+        df = spark.createDataFrame(rows, schema)
+        return sorted((r.span, r.kind) for r in st._far_apart(df, ["corpus_id"], "span").collect())
+
+    assert left(opens) == []
+    assert left([("c", -1, "close", -1), *opens]) == []
+    assert left([*opens, ("c", 50, "close", 50)]) == [(49, "open"), (50, "close")]
+    # Two closes after chunk 9, of which the opens of chunks 10 and on are out of reach.
+    mixed = [*opens[:10], ("c", 10, "close", 100), ("c", 10, "close", 101), ("c", 10, "open", 102), *opens[20:]]
+    assert left(mixed) == [(8, "open"), (9, "open"), (10, "close"), (10, "close")]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64])
+def test_chunks_over_several_batches(size):
+    rng = random.Random(5)
+    rows = [{"c": k // 5 if k < 40 else 8, "kind": rng.choice(["open", "close"]), "name": rng.choice("ab"), "attrs": None, "__pos": k} for k in range(60)]
+    table = pa.Table.from_pylist(rows, pa.schema([("c", pa.int64()), ("kind", pa.string()), ("name", pa.string()), ("attrs", pa.string()), ("__pos", pa.int64())]))
+
+    def through(batches):
+        return pa.Table.from_batches(list(st._matched(["c"])(iter(batches)))).to_pylist()
+
+    assert through(table.to_batches(max_chunksize=size)) == through([table.combine_chunks().to_batches()[0]])
