@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,10 +34,15 @@ def duplicate_items(units: DataFrame) -> DataFrame:
 def aligned(units: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of different corpora with the same ``item_id``, each pair once.
 
-    (``item_id``, ``corpus_id``) is unique (``duplicate_items`` finds breaches), so an item has at
-    most one row per corpus.
+    (``item_id``, ``corpus_id``) must be unique, so an item has at most one row per corpus; a breach fails the job
+    (``duplicate_items`` lists them). Rows without an id meet none.
     """
     wanted = ["corpus_id", *columns]
+    # One shuffle serves the test and both sides of the join.
+    rows = units.where("item_id is not null").repartition("item_id")
+    alone = F.count("*").over(Window.partitionBy("item_id", "corpus_id")) == 1
+    twice = F.raise_error(F.concat(F.lit("item id "), "item_id", F.lit(" is not unique in "), "corpus_id")).cast("string")
+    units = rows.withColumn("corpus_id", F.when(alone, F.col("corpus_id")).otherwise(twice))
     left = units.select("item_id", *[F.col(c).alias(f"{c}_a") for c in wanted])
     right = units.select("item_id", *[F.col(c).alias(f"{c}_b") for c in wanted])
     return left.join(right, "item_id").where("corpus_id_a < corpus_id_b")

@@ -73,7 +73,7 @@ def build(
         events = keep(tk.accepted_before_tags(tokens, events.drop("tok"), order))
     resolved = st.resolve(events, spec, order, budgeted())
     marked = keep(st.mark_units(resolved, spec, join, order))
-    errors = [st.structure_errors(events if spec.nested else resolved, spec, order, keep)]
+    errors = [st.structure_errors(events if spec.nested else resolved, spec, order, keep), st.tag_errors(events, order)]
     if join:
         errors.append(st.item_id_errors(resolved, spec, join, order))
     frequencies = occurrences = counted = None

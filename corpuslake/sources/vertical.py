@@ -113,8 +113,18 @@ def read_lines(
     )
 
 
+def is_tag(line: Column) -> Column:
+    """A name after ``<`` or ``</``, and no tab: a token that begins with ``<`` and whose last column ends in ``>`` is none."""
+    return line.startswith("<") & line.endswith(">") & line.rlike(r"^</?[^\s<>/]+(?: [^\t]*|/)?>$")
+
+
+def is_whole_tag(line: Column) -> Column:
+    """All that follows a tag's name are attributes with quoted values; a closing tag has none."""
+    return line.rlike(r"""^(?:</[^\s<>/]+ *>|<[^\s<>/]+(?: +[^\s="']+=(?:"[^"]*+"|'[^']*+'))*+ */?>)$""")
+
+
 def line_kind(line: Column) -> Column:
-    tag = line.startswith("<") & line.endswith(">")
+    tag = is_tag(line)
     return (
         F.when(line == "", "blank")
         .when(~tag, "token")
@@ -129,11 +139,12 @@ def tag_name(line: Column) -> Column:
 
 
 def tag_attrs(line: Column) -> Column:
-    """Attributes of a tag as a map; of repeated names the last one counts."""
-    pattern = F.lit(r"""([^\s="]+)="([^"]*)\"""")
+    """Attributes of a tag as a map; of repeated names the last one counts. Values are in double or single quotes."""
+    pattern = F.lit(r"""([^\s="']+)=("[^"]*"|'[^']*')""")
     names = F.regexp_extract_all(line, pattern, F.lit(1))
     values = F.regexp_extract_all(line, pattern, F.lit(2))
-    pairs = F.zip_with(names, values, lambda n, v: F.struct(n.alias("key"), v.alias("value")))
+    bare = F.transform(values, lambda v: F.substr(v, F.lit(2), F.length(v) - 2))
+    pairs = F.zip_with(names, bare, lambda n, v: F.struct(n.alias("key"), v.alias("value")))
     last = F.filter(
         pairs, lambda p, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), p["key"])
     )
@@ -141,11 +152,11 @@ def tag_attrs(line: Column) -> Column:
 
 
 def struct_events(lines: DataFrame) -> DataFrame:
-    """Structure tags with ``kind`` (open, close, empty), ``name`` and ``attrs``; other columns stay."""
+    """Structure tags with ``kind`` (open, close, empty), ``name``, ``attrs`` and ``broken`` (see ``is_whole_tag``); other columns stay."""
     line = F.col("line")
     return (
-        lines.where(line.startswith("<") & line.endswith(">"))
-        .withColumns({"kind": line_kind(line), "name": tag_name(line), "attrs": tag_attrs(line)})
+        lines.where(is_tag(line))
+        .withColumns({"kind": line_kind(line), "name": tag_name(line), "attrs": tag_attrs(line), "broken": ~is_whole_tag(line)})
         .drop("line")
     )
 

@@ -43,6 +43,8 @@ def test_create_and_append(spark, tmp_path):
     (pair,) = units.aligned(stored, ["doc_id"]).collect()
     assert (pair["item_id"], pair["doc_id_a"], pair["doc_id_b"]) == ("1", "cs1", "en1")
     assert units.duplicate_items(stored).count() == 0
+    with pytest.raises(Exception, match="item id 1 is not unique in en"):
+        units.aligned(stored.unionByName(stored.where("corpus_id = 'en'")), ["doc_id"]).collect()
     # Appending a corpus again would break that key, so nothing is written.
     with pytest.raises(ValueError):
         extract(spark, cs, SPEC, file=b, append=True, join=JOIN)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuslake.sources.tables import text_tokens
-from corpuslake.sources.vertical import line_kind, read_lines, resolve_paths, tag_attrs, tag_name, token_column
+from corpuslake.operators.structure import tag_errors
+from corpuslake.sources.vertical import is_whole_tag, line_kind, read_lines, resolve_paths, struct_events, tag_attrs, tag_name, token_column
 
 
 def ordered(df):
@@ -80,7 +81,13 @@ def test_tags(spark):
         '<g k="1" k="2"/>': ("empty", "g", {"k": "2"}),
         "<g/>": ("empty", "g", {}),
         "</doc>": ("close", "doc", {}),
+        "<doc id='1' title='a \"b=\"c\"'>": ("open", "doc", {"id": "1", "title": 'a "b="c"'}),
+        """<doc a="it's b='c'" d=''>""": ("open", "doc", {"a": "it's b='c'", "d": ""}),
         "<": ("token", None, None),
+        "<\tSYM\t<x>": ("token", None, None),
+        "<3\tSYM\t>": ("token", None, None),
+        "<>": ("token", None, None),
+        "</>": ("token", None, None),
         "<\tX": ("token", None, None),
         "": ("blank", None, None),
     }
@@ -94,6 +101,18 @@ def test_tags(spark):
             assert (r["n"], r["a"]) == (name, attrs)
 
 
+def test_tags_that_are_not_whole(spark):
+    whole = ["<p>", "<p/>", "<p />", "</p>", "</p >", '<p a="1">', "<p a='1'  b=\"2\"/>", '<p a=">" b="a=b">', '<p a="/">']
+    broken = ["<p a=1>", '<p a="1>', '<p a="1"b="2">', '<p a = "1">', '</p a="1">', "<p x>"]
+    df = spark.createDataFrame([(c,) for c in whole + broken], "line string")
+    got = {r.line: r.whole for r in df.select("line", is_whole_tag(F.col("line")).alias("whole")).collect()}
+    assert got == {c: c in whole for c in whole + broken}
+    # Such a tag counts as an error, its other attributes as they are.
+    events = struct_events(spark.createDataFrame([("c", 1, '<p a=1 b="2">'), ("c", 2, "</p>")], "corpus_id string, pos int, line string"))
+    assert [(r.corpus_id, r.pos) for r in tag_errors(events).collect()] == [("c", 1)]
+    assert [r.attrs for r in events.orderBy("pos").collect()] == [{"b": "2"}, {}]
+
+
 def test_short_lines_have_empty_columns(spark):
     df = spark.createDataFrame([("a\tb",)], "line string").select(F.split("line", "\t").alias("cols"))
     assert df.select(token_column(1), token_column(5)).first()[:] == ("b", "")
