@@ -129,6 +129,15 @@ def ngram_multi_column(spark, sf_dir):
     return ng.frequency_table(counts, spec)
 
 
+@query
+def ngram_columns_fold(spark, sf_dir):
+    """The columns of the multi-column n-grams visited in order, with an accumulator: numbered texts, and how many columns differ from the first."""
+    spec, counts = _multi_column_counts(spark, sf_dir)
+    text = ng.fold_columns(spec.names, F.lit(""), lambda acc, t, i: F.concat(acc, F.lit(f"{i}:"), t, F.lit(";")))
+    other = ng.fold_columns(spec.names, F.lit(0), lambda acc, t, i: acc + (t != F.col(spec.names[0])).cast("int"))
+    return counts.select("corpus_id", text.alias("texts"), other.alias("differing"), "count")
+
+
 @query
 def ngram_columns_long(spark, sf_dir):
     """Every column text of the multi-column n-grams as a row, summed by column and text."""

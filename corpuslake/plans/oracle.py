@@ -131,6 +131,9 @@ SELECT CASE WHEN strlen(col0) <= 127 THEN col0 END AS col0, CASE WHEN strlen(col
        "count", CAST(-1 AS DOUBLE) AS arf, regexp_matches(col1, '^\\p{{Lu}}') AS initial_cap,
        CAST(2 AS INTEGER) AS ngram_size
 FROM counts""",
+    "ngram_columns_fold": f"""WITH {MULTI}
+SELECT corpus_id, '0:' || col0 || ';1:' || col1 || ';2:' || col2 || ';' AS texts,
+       CAST((col1 <> col0)::INTEGER + (col2 <> col0)::INTEGER AS INTEGER) AS differing, "count" FROM counts""",
     "ngram_columns_long": f"""WITH {MULTI},
 long AS (
   SELECT corpus_id, "count", CAST(0 AS INTEGER) AS col_idx, col0 AS text FROM counts
