@@ -15,15 +15,20 @@ def _values(v: str | Sequence[str]) -> list[str]:
     return [v] if isinstance(v, str) else list(v)
 
 
+def named_values(filters: Filters | Sequence[tuple[str, str]] | None) -> list[tuple[str, list[str]]]:
+    """Names with the values they may have; a name without values tests nothing."""
+    pairs = filters.items() if isinstance(filters, Mapping) else (filters or [])
+    return [(name, _values(v)) for name, v in pairs if _values(v)]
+
+
 def attr_filter(filters: Filters | None) -> Column:
     """All attributes must match; an attribute matches any of its values, and anything if it has none."""
-    tests = [F.col(a).isin(_values(v)) for a, v in (filters or {}).items() if _values(v)]
+    tests = [F.col(a).isin(v) for a, v in named_values(filters)]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
 def _feat_tests(filters: Filters | Sequence[tuple[str, str]] | None) -> list[Column]:
-    pairs = filters.items() if isinstance(filters, Mapping) else (filters or [])
-    return [(F.col("feat") == f) & F.col("value").isin(_values(v)) for f, v in pairs if _values(v)]
+    return [(F.col("feat") == f) & F.col("value").isin(v) for f, v in named_values(filters)]
 
 
 def _filtered(tokens: DataFrame, feats: DataFrame, attrs: Filters | None, feat_filter) -> DataFrame:

@@ -17,6 +17,7 @@ from corpuslake.operators import search
 from corpuslake.operators import structure as st
 from corpuslake.operators import tokens as tk
 from corpuslake.operators import units
+from corpuslake.operators.bitmaps import SearchIndex, bitmaps_of, entries_of, sorted_bitmaps
 from corpuslake.operators.gaps import gap_rows
 from corpuslake.operators.structure import TooManyErrors
 from corpuslake.plans import corpora as cp
@@ -615,11 +616,35 @@ def _livetokens(spark, sf_dir):
     return lt.token_tables(valid, _ATTRS)
 
 
+# Folders of this session's stored imports; searches share one, as those of a user would.
+_IMPORTED: dict[tuple[str, str, str], str] = {}
+
+
+def _imported(spark, sf_dir, name, make):
+    """``make(keep)``, stored once for the files that documents consist of now; again if it was removed."""
+    paths = resolve_paths(spark, f"{sf_dir}/documents.parquet", skip_hidden=True)
+    key = (spark.sparkContext.applicationId, sink.input_key(spark, paths), name)
+    if key not in _IMPORTED or not sink.exists(spark, f"{_IMPORTED[key]}/_SUCCESS"):
+        stages = Stages(spark)
+        folder = stages.folder()
+        make(stages.keep).write.parquet(folder)
+        _IMPORTED[key] = folder
+    return spark.read.parquet(_IMPORTED[key])
+
+
+def _valid_combinations(spark, sf_dir):
+    return _imported(spark, sf_dir, "valid", lambda keep: lt.valid_only(_combinations(spark, sf_dir), _ATTRS))
+
+
 def _stored_livetokens(spark, sf_dir):
     """The two tables as an import leaves them, so that a search reads them instead of the corpus."""
-    keep = Stages(spark).keep
-    valid = keep(lt.valid_only(_combinations(spark, sf_dir), _ATTRS))
-    return lt.token_tables(valid, _ATTRS)
+    return lt.token_tables(_valid_combinations(spark, sf_dir), _ATTRS)
+
+
+def _search_index(spark, sf_dir):
+    """The index over the same combinations, as an import leaves it."""
+    entries = _imported(spark, sf_dir, "entries", lambda keep: entries_of(_valid_combinations(spark, sf_dir), _ATTRS, keep))
+    return SearchIndex(entries, _imported(spark, sf_dir, "bitmaps", lambda keep: sorted_bitmaps(bitmaps_of(entries, _ATTRS))))
 
 
 @query
@@ -654,27 +679,54 @@ def livetokens_feats(spark, sf_dir):
 
 @query
 def search_tokens(spark, sf_dir):
-    tokens, feats = _stored_livetokens(spark, sf_dir)
-    found = search.search_tokens(tokens, feats, {"tag": "NNS"}, {"Cap": "No", "Len": ["M", "L"]})
-    return found.select(*_ATTRS, "cnt", "udfeats")
+    found = _search_index(spark, sf_dir).search({"tag": "NNS"}, {"Cap": "No", "Len": ["M", "L"]})
+    return found.select(*_ATTRS, "cnt", F.col("feats_key").alias("udfeats"))
 
 
 @query
 def search_total(spark, sf_dir):
-    tokens, feats = _stored_livetokens(spark, sf_dir)
-    return search.total(search.search_tokens(tokens, feats, {"tag": ["NNP", "VBG"]}, [("Len", "L")]))
+    return _search_index(spark, sf_dir).total({"tag": ["NNP", "VBG"]}, [("Len", "L")])
 
 
 @query
 def facet_attr_values(spark, sf_dir):
-    tokens, feats = _stored_livetokens(spark, sf_dir)
-    return search.attr_values(tokens, feats, _ATTRS, {"tag": ["NNS", "VBG"]}, {"Len": ["M", "L"], "Cap": "No"})
+    found = _search_index(spark, sf_dir).facets(_ATTRS, {"tag": ["NNS", "VBG"]}, {"Len": ["M", "L"], "Cap": "No"}, feats=False)
+    return found.select("name", "value").orderBy("name", "value")
 
 
 @query
 def facet_feat_values(spark, sf_dir):
+    found = _search_index(spark, sf_dir).facets([], {"tag": ["NNS", "NNP"]}, {"Cap": ["Yes", "No"]})
+    return found.select(F.col("name").alias("feat"), "value").orderBy("feat", "value")
+
+
+@query
+def facet_counts(spark, sf_dir):
+    """Values of attributes and features under a filter, with the number of combinations that have them."""
+    return _search_index(spark, sf_dir).facets(_ATTRS, {"tag": ["NNS", "VBG"]}, {"Len": ["M", "L"]})
+
+
+@query
+def search_token_tables(spark, sf_dir):
+    """A search that joins the two tables and needs no index."""
     tokens, feats = _stored_livetokens(spark, sf_dir)
-    return search.feat_values(tokens, feats, {"tag": ["NNS", "NNP"]}, {"Cap": ["Yes", "No"]})
+    found = search.search_tokens(tokens, feats, {"tag": ["NNP", "VBG"]}, [("Len", "L")])
+    return found.select(*_ATTRS, "cnt", "udfeats")
+
+
+@query
+def token_ids(spark, sf_dir):
+    """Combinations numbered in the order of their attributes and features."""
+    return _search_index(spark, sf_dir).entries.select("id", *_ATTRS, "feats_key", "cnt")
+
+
+@query
+def sink_search_index(spark, sf_dir):
+    """Tables with an index stored as one snapshot, and a search of what is stored."""
+    target = sink.Target(Stages(spark).folder(), "documents")
+    entries = entries_of(_valid_combinations(spark, sf_dir), _ATTRS, Stages(spark).keep)
+    sink.write_livetokens(*_stored_livetokens(spark, sf_dir), target, None, entries, _ATTRS)
+    return sink.read_index(spark, target).search().select(*_ATTRS, "cnt", F.col("feats_key").alias("udfeats"))
 
 
 @query

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.config import TokenAttr, feats_attr, plain_attrs
 from corpuslake.operators import livetokens as lt
+from corpuslake.operators.bitmaps import entries_of
 from corpuslake.operators.structure import width_errors
 from corpuslake.sinks import tables as sink
 from corpuslake.sources.vertical import read_lines, resolve_paths, token_column, token_lines
@@ -40,10 +41,11 @@ def import_livetokens(
     files: Sequence[str] | None = None,
     keep_featless: bool = False,
     strict_numeric: bool = False,
+    index: bool = False,
 ) -> ImportReport:
     """Reads a vertical and replaces both tables, and that of rejected combinations.
 
-    Structures do not matter here, nor does the order of lines.
+    Structures do not matter here, nor does the order of lines. ``index`` stores the bitmaps for ``sinks.tables.read_index``, too.
     """
     names = [a.name for a in plain_attrs(attrs)]
     lines = read_lines(spark, resolve_paths(spark, file, files), target.corpus)
@@ -55,7 +57,8 @@ def import_livetokens(
         valid = lt.valid_only(counted, names, strict_numeric)
         rejected = counted.where(~lt.looks_valid(names, strict_numeric))
         rejected = rejected.select(*names, "feats_key", "cnt", "last_line")
-        sink.write_livetokens(*lt.token_tables(valid, names), target, rejected)
+        entries = entries_of(valid, names, stages.keep) if index else None
+        sink.write_livetokens(*lt.token_tables(valid, names), target, rejected, entries, names)
         unparsed = raw.where(lt.feat_sets(F.col("__feats")).isNull()).agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
         return ImportReport(width_errors(tokens), sink.read(spark, target, target.rejected).count(), unparsed)
     finally:

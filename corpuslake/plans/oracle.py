@@ -260,6 +260,19 @@ UNION ALL SELECT DISTINCT 'tag', tag FROM kept""",
 SELECT DISTINCT f.feat, f.value FROM live t JOIN udfeats f USING (token_id)
 WHERE tag IN ('NNS', 'NNP')
   AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Cap' AND value IN ('Yes', 'No'))""",
+    "facet_counts": f"""WITH {LIVE},
+kept AS (
+  SELECT * FROM live t WHERE tag IN ('NNS', 'VBG')
+  AND t.token_id IN (SELECT token_id FROM udfeats WHERE feat = 'Len' AND value IN ('M', 'L')))
+SELECT 'attr' AS kind, 'lemma' AS name, lemma AS value, count(*) AS n FROM kept GROUP BY lemma
+UNION ALL SELECT 'attr', 'tag', tag, count(*) FROM kept GROUP BY tag
+UNION ALL SELECT 'feat', feat, value, count(DISTINCT token_id) FROM udfeats
+  WHERE token_id IN (SELECT token_id FROM kept) GROUP BY feat, value""",
+    "search_token_tables": f"""WITH {COMBOS}
+SELECT lemma, tag, cnt, feats_key AS udfeats FROM combos
+WHERE {VALID} AND tag IN ('NNP', 'VBG') AND regexp_matches(feats_key, '(^|\\|)Len=L(\\||$)')""",
+    "token_ids": f"""WITH {COMBOS}
+SELECT row_number() OVER (ORDER BY lemma, tag, feats_key) - 1 AS id, lemma, tag, feats_key, cnt FROM combos WHERE {VALID}""",
     "search_feats_map": f"""WITH {COMBOS}
 SELECT lemma, cnt, feats_key AS feats, CASE WHEN regexp_matches(feats_key, '(^|\\|)Suf=') THEN 'tion' END AS suffix
 FROM combos WHERE {VALID} AND regexp_matches(feats_key, '(^|\\|)Cap=Yes(\\||$)')""",
@@ -286,6 +299,7 @@ SELECT CASE WHEN strlen(word) <= 127 THEN word END AS col0, sha1(word) AS hash_i
 FROM toks GROUP BY corpus_id, word""",
     "sink_livetokens": f"""WITH {LIVE} SELECT lemma, tag, cnt, feats_key AS udfeats FROM live""",
 }
+ORACLE_SQL["sink_search_index"] = ORACLE_SQL["sink_livetokens"]
 ORACLE_SQL["liveattrs_nested_errors"] = ORACLE_SQL["liveattrs_nested"]
 ORACLE_SQL["nested_structure_errors"] = f"""WITH {TOKENS},
 sized AS (SELECT doc_id, num, count(*) AS n FROM toks GROUP BY doc_id, num),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake.config import NgramSpec
+from corpuslake.operators.bitmaps import SearchIndex, bitmaps_of, sorted_bitmaps
 from corpuslake.operators.gaps import count_of_gaps, moved
 from corpuslake.operators.ngrams import ARF_OFF, distinct_values, frequency_table
 from corpuslake.operators.units import expired
@@ -21,6 +22,8 @@ from corpuslake.sources.tables import PerCorpus
 UNITS, FREQUENCIES, TOKENS, FEATS, REJECTED = (
     "liveattrs_entry", "colcounts", "livetokens", "livetokens_udfeats", "livetokens_rejected"
 )
+# An index of the token attributes: numbered combinations, and bitmaps of their numbers.
+ENTRIES, BITMAPS = "livetokens_entries", "livetokens_bitmaps"
 # What an ARF is made of: gaps between occurrences, and the tokens of each input.
 GAPS, SIZES = "colcounts_gaps", "colcounts_sizes"
 COUNTED = (FREQUENCIES, GAPS, SIZES)
@@ -74,6 +77,14 @@ class Target:
     def rejected(self) -> str:
         return self.path(REJECTED)
 
+    @property
+    def entries(self) -> str:
+        return self.path(ENTRIES)
+
+    @property
+    def bitmaps(self) -> str:
+        return self.path(BITMAPS)
+
 
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -213,8 +224,28 @@ def write_arf(gaps: DataFrame, sizes: DataFrame, spec: NgramSpec, target: Target
     snapshots.publish(spark, target.log, before.with_parts(add, [*drop, *gone]))
 
 
-def write_livetokens(tokens: DataFrame, feats: DataFrame, target: Target, rejected: DataFrame | None = None) -> None:
-    """Replaces these tables at once. Features are sorted in each file, so that a search skips most of it."""
+def index_parts(entries: DataFrame, attrs: Sequence[str], target: Target) -> list[Part]:
+    """Parts of an index over ``entries_of``. Bitmaps are made from the entries as stored."""
+    first = snapshots.written(entries, target.entries, ENTRIES, [target.corpus], (), target.format)
+    stored = snapshots.rows(entries.sparkSession, target.entries, [first], target.format)
+    bitmaps = sorted_bitmaps(bitmaps_of(stored, attrs))
+    return [first, snapshots.written(bitmaps, target.bitmaps, BITMAPS, [target.corpus], (), target.format)]
+
+
+def read_index(spark: SparkSession, target: Target, at: Snapshot | None = None) -> SearchIndex:
+    """The index of one snapshot, so that entries and bitmaps belong together."""
+    at = at or snapshot(spark, target)
+    return SearchIndex(read(spark, target, target.entries, at), read(spark, target, target.bitmaps, at))
+
+
+def write_livetokens(
+    tokens: DataFrame, feats: DataFrame, target: Target, rejected: DataFrame | None = None,
+    entries: DataFrame | None = None, attrs: Sequence[str] = (),
+) -> None:
+    """Replaces these tables at once. Features are sorted in each file, so that a search skips most of it.
+
+    With ``entries`` (``entries_of`` for ``attrs``) an index is stored, too; without, that of the tables before goes.
+    """
     spark = tokens.sparkSession
     before = snapshot(spark, target)
     add = [
@@ -223,7 +254,9 @@ def write_livetokens(tokens: DataFrame, feats: DataFrame, target: Target, reject
     ]
     if rejected is not None:
         add.append(snapshots.written(rejected, target.rejected, REJECTED, [target.corpus], (), target.format))
-    drop = [p for t in (TOKENS, FEATS, REJECTED) for p in before.of(t)]
+    if entries is not None:
+        add += index_parts(entries, attrs, target)
+    drop = [p for t in (TOKENS, FEATS, REJECTED, ENTRIES, BITMAPS) for p in before.of(t)]
     snapshots.publish(spark, target.log, before.with_parts(add, drop))
 
 
