@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable
 from functools import reduce
+from itertools import cycle
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from corpuslake.operators.structure import TooManyErrors
 from corpuslake.plans import corpora as cp
 from corpuslake.plans.extraction import extract
 from corpuslake.sinks import tables as sink
+from corpuslake.sources.charsets import any_charset
 from corpuslake.sources.tables import corpus_sizes, text_lengths, with_token_offsets
 from corpuslake.sources.vertical import read_lines, resolve_paths, struct_events, token_column, token_lines
 from corpuslake.stages import Stages
@@ -456,6 +458,25 @@ def vertical_files_scan(spark, sf_dir):
     return cols.groupBy("corpus_id", *names).agg(F.count("*").alias("n"))
 
 
+@query
+def vertical_charsets_scan(spark, sf_dir):
+    """The lines of ``vertical_lines_parse`` from files in UTF-16 of either byte order and GB18030, each corpus in one of them."""
+    stages, names = Stages(spark), ["word", "lemma", "tag", "feats"]
+    # The bytes of a line end, as the text that Spark writes for them.
+    written = [("UTF-16LE", "utf-16-le", "\n\0"), ("UTF-16BE", "utf-16-be", "\0\n"), ("GB18030", "gb18030", "\n")]
+    lines = []
+    for corpus, (java, encoding, line_end) in zip(_all_corpora(spark, sf_dir), cycle(written)):
+        found = cp.document_lines(spark, sf_dir, cp.simple_paragraph(cp.full_token), where=F.col("corpus_id") == corpus)
+        with any_charset(spark):
+            found = found.select(F.encode("line", java).cast("string").alias("line"))
+        folder = stages.folder()
+        found.write.option("lineSep", line_end).text(folder)
+        lines.append(read_lines(spark, resolve_paths(spark, file=folder, skip_hidden=True), corpus, encoding))
+    tokens = token_lines(reduce(DataFrame.union, lines) if lines else cp.document_lines(spark, sf_dir, cp.simple_paragraph(cp.full_token)))
+    cols = tokens.select("corpus_id", *[token_column(i).alias(n) for i, n in enumerate(names)])
+    return cols.groupBy("corpus_id", *names).agg(F.count("*").alias("n"))
+
+
 _STORED_UNITS = ["doc_id", "doc_date", "poscount", "wordcount", "corpus_id"]
 
 

@@ -323,6 +323,6 @@ ORACLE_SQL["error_budgets"] = f"""WITH found AS (SELECT count(*) AS n FROM ({ORA
 SELECT n AS budget, n AS errors, false AS stopped FROM found
 UNION ALL SELECT n - 1, n, true FROM found"""
 ORACLE_SQL["sink_units"], ORACLE_SQL["sink_frequencies"] = ORACLE_SQL["sink_units_all"], ORACLE_SQL["sink_frequencies_all"]
-ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_lines_parse"]
+ORACLE_SQL["vertical_files_scan"] = ORACLE_SQL["vertical_charsets_scan"] = ORACLE_SQL["vertical_lines_parse"]
 ORACLE_SQL["bigram_arf_hot"] = ORACLE_SQL["bigram_arf_append"] = ORACLE_SQL["bigram_arf"]
 ORACLE_SQL["ngram_ipm_many"] = ORACLE_SQL["ngram_ipm"]

@@ -5,14 +5,16 @@ Several files make one line stream in list order; gzip is read through the Hadoo
 
 from __future__ import annotations
 
-import codecs
 import re
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslake.sources.charsets import Charset, aligned, any_charset, charset_of
+
 # Rows of one file split get consecutive numbers in the lower bits of monotonically_increasing_id.
 _ROW_BITS = 33
 # A chunk is at most this many lines of one split, so a gzip file (one split) makes many chunks.
@@ -58,59 +60,68 @@ def _hidden(path: str) -> bool:
     return path.rpartition("/")[2][:1] in ("_", ".")
 
 
-def _decoded(raw: Column, encoding: str) -> Column:
-    """Text of a line in any charset Python knows, as long as one byte is one character."""
-    name = codecs.lookup(encoding).name
-    if name in ("utf-8", "ascii"):
-        return raw
-    latin = "".join(map(chr, range(0x80, 0x100)))
-    try:
-        upper = bytes(range(0x80, 0x100)).decode(name, errors="replace")
-        single = len(upper) == 128 and bytes(range(0x80)).decode(name) == "".join(map(chr, range(0x80)))
-    except UnicodeDecodeError:
-        single = False
-    if not single:
-        raise ValueError(f"unsupported vertical encoding: {encoding}")
-    return F.translate(F.decode(raw.cast("binary"), "ISO-8859-1"), latin, upper)
-
-
 def read_lines(
     spark: SparkSession, paths: Sequence[str], corpus_id: str, encoding: str = "utf-8", chunk_bits: int = CHUNK_BITS
 ) -> DataFrame:
     """``corpus_id, span, chunk, pos, seq, line``: ``pos`` orders all lines, ``seq`` is dense in a chunk.
 
     The order is (file, start of the split, row in the split). It is taken in the scan stage itself,
-    so a repeated task gives the same numbers, and no line passes through Python.
+    so a repeated task gives the same numbers, and no line passes through Python. Encodings: see ``charsets``.
     """
     hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
 
-    files, start = [], 0
+    files, start, by_charset = [], 0, {}
     for i, entry in enumerate(paths):
         path = hadoop.Path(entry)
         fs = path.getFileSystem(conf)
         uri = re.sub("^file:/+", "file:/", fs.makeQualified(path).toUri().toString())
         files.append((uri, i, start))
         start += fs.getFileStatus(path).getLen()
+        by_charset.setdefault(charset_of(spark, entry, encoding), {})[entry] = None
     listed = spark.createDataFrame(files, "path string, file_idx int, start long")
+    parts = [_charset_lines(spark, list(own), listed, corpus_id, c, chunk_bits) for c, own in by_charset.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _charset_lines(
+    spark: SparkSession, paths: list[str], listed: DataFrame, corpus_id: str, charset: Charset, chunk_bits: int
+) -> DataFrame:
+    """Lines of files of one charset."""
     row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
-    scanned = spark.read.option("lineSep", "\n").text(list(dict.fromkeys(paths))).select(
-        F.rtrim(_decoded(F.col("value"), encoding), F.lit("\r")).alias("line"),
+    scanned = spark.read.options(**charset.options()).text(paths).select(
+        F.col("value").cast("binary").alias("raw"),
         F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         row.alias("seq"),
     )
+    if charset.width > 1:
+        # One row per file: whether a cut is inside a character, and where the file begins.
+        begins = F.min(F.when(F.col("block") == 0, F.col("seq"))).alias("begins")
+        known = scanned.groupBy("path").agg(F.max(F.length("raw") % charset.width).alias("odd"), begins).collect()
+        facts = spark.createDataFrame(known, "path string, odd int, begins long")
+        listed = listed.join(F.broadcast(facts), "path", "left")
     # The list comes from the driver's own listing, so it is as small as that.
     numbered = scanned.join(F.broadcast(listed), "path", "left")
     unlisted = F.raise_error(F.concat(F.lit("lines of a file not listed: "), "path")).cast("int")
     numbered = numbered.withColumn("file_idx", F.coalesce("file_idx", unlisted))
-    return numbered.select(
+    extra = ["file_idx", "block", "odd", "begins"] if charset.width > 1 else []
+    lines = numbered.select(
         F.lit(corpus_id).alias("corpus_id"),
         F.shiftright(F.col("start") + F.col("block"), SPAN_BITS).alias("span"),
         F.struct("file_idx", "block", F.shiftright("seq", chunk_bits).alias("part")).alias("chunk"),
         F.struct("file_idx", "block", "seq").alias("pos"),
         "seq",
-        "line",
+        "raw",
+        *extra,
     )
+    if charset.width > 1 and any(r["odd"] for r in known):
+        lines = lines.where("odd = 0").unionByName(aligned(lines.where("odd > 0"), charset))
+    with any_charset(spark):
+        text = charset.text(F.col("raw"))
+        if charset.marked:
+            first = (F.col("block") == 0) & (F.col("seq") == F.col("begins"))
+            text = F.when(first, F.regexp_replace(text, "^\uFEFF", "")).otherwise(text)
+        return lines.select("corpus_id", "span", "chunk", "pos", "seq", F.rtrim(text, F.lit("\r")).alias("line"))
 
 
 def is_tag(line: Column) -> Column:

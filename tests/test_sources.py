@@ -1,6 +1,8 @@
 """Vertical files: order, paths, encodings, tags."""
 
+import codecs
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,7 +73,69 @@ def test_encodings(spark, tmp_path, encoding):
 def test_unsupported_encoding(spark, tmp_path):
     (tmp_path / "v").write_text("a\n")
     with pytest.raises(ValueError):
-        read_lines(spark, [str(tmp_path / "v")], "c", "utf-16")
+        read_lines(spark, [str(tmp_path / "v")], "c", "iso2022_kr")
+
+
+TEXTS = {
+    "cjk": "<doc>\n词\t名\n\n一二三\tx\r\n€é\tn\n</doc>",
+    "plain": "".join(f"w{i}\tž\n" for i in range(60)),
+}
+
+
+@pytest.mark.parametrize("encoding", ["gb18030", "gbk", "big5", "shift_jis", "euc_jp", "euc_kr", "cp932", "cp949"])
+def test_charsets_of_several_bytes(spark, tmp_path, encoding):
+    text = "一二\t十\r\n" * 40 + "\n三\t一"
+    (tmp_path / "v").write_bytes(text.encode(encoding))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "61")
+    try:
+        got = ordered(read_lines(spark, [str(tmp_path / "v")], "c", encoding))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == text.replace("\r", "").split("\n")
+
+
+@pytest.mark.parametrize(
+    "block,encoding",
+    [(33, "utf-16-le"), (33, "utf-32-be"), (64, "utf-16-be"), (64, "utf-32"), (1 << 20, "utf-16"), (1 << 20, "utf-32-le")],
+)
+def test_units_of_several_bytes(spark, tmp_path, encoding, block):
+    # Characters whose bytes look like line ends in either order, beside each other and beside line ends.
+    rng = random.Random(block)
+    letters = ["\u0a05", "\u4e00", "\u0a00", "\u000a", "\u0100", "\u010a", "a", "\t", "\U0001000a", "\U00010a00", "\U000a0000"]
+    texts = ["".join(rng.choices(letters, k=150)) + "x", "\n\u0a05\u4e00\n\u0a05\u4e00", *TEXTS.values(), "\ufeffnot a mark\n\ufeffx"]
+    names = []
+    for i, text in enumerate(texts):
+        names.append(f"{tmp_path}/{i}")
+        with open(names[-1], "wb") as out:
+            out.write(text.encode(encoding))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        # Empty lines are passed over by all jobs; those that pieces leave behind hold a place only.
+        found = read_lines(spark, names, "c", encoding, chunk_bits=3)
+        got = [line for line in ordered(found) if line]
+        wide = found.groupBy("chunk").agg((F.max("seq") - F.min("seq") + 1).alias("span"), F.count("*").alias("n"))
+        assert wide.where("span <> n").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [line.rstrip("\r") for t in texts for line in t.split("\n") if line.rstrip("\r")]
+
+
+def test_marks_tell_the_order_of_each_file(spark, tmp_path):
+    text = "<doc>\nžluť\n</doc>\n"
+    (tmp_path / "1").write_bytes(codecs.BOM_UTF16_LE + text.encode("utf-16-le"))
+    (tmp_path / "2").write_bytes(codecs.BOM_UTF16_BE + text.encode("utf-16-be"))
+    (tmp_path / "3").write_bytes(text.encode("utf-16-be"))
+    with gzip.open(tmp_path / "4.gz", "wb") as out:
+        out.write(codecs.BOM_UTF16_LE + text.encode("utf-16-le"))
+    paths = resolve_paths(spark, file=str(tmp_path))
+    assert ordered(read_lines(spark, paths, "c", "utf-16")) == text.split() * 4
+
+
+def test_malformed_bytes_become_a_mark(spark, tmp_path):
+    (tmp_path / "v").write_bytes(b"a\xff\xff\nb\n")
+    assert ordered(read_lines(spark, [str(tmp_path / "v")], "c", "euc_jp"))[1] == "b"
+    (tmp_path / "w").write_bytes("ab\ncd".encode("utf-16-le") + b"x")
+    assert ordered(read_lines(spark, [str(tmp_path / "w")], "c", "utf-16-le"))[0] == "ab"
 
 
 def test_tags(spark):
