@@ -25,6 +25,7 @@ from corpuslake.stages import Stages
 
 _END = b"\0"  # not part of any term
 _BUCKET = 1 << 15  # bits that Spark's bitmap functions put in one value
+_BRIEF = 64  # bytes of keys that are hashed together
 _CHUNK = pa.schema(
     [("lang", pa.string()), ("sources", pa.list_(pa.string())), ("ids", pa.list_(pa.string())),
      ("terms", pa.list_(pa.binary())), ("starts", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32())),
@@ -34,6 +35,9 @@ _CHUNK_SQL = (
     "lang string, sources array<string>, ids array<string>, terms array<binary>, starts array<long>, codes array<int>, "
     "counts array<int>"
 )
+#: A chunk is a row of some MB. Spark's reader decodes up to 4,096 rows of a row group at once, and the writer looks at the size of one
+#: after 100 rows, so a task would hold all chunks of its file. Looked at after each row, a row group is a few chunks.
+_FEW_A_GROUP = {"parquet.block.size": 1 << 24, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: Bytes that terms are made of: ASCII letters, and all of characters beyond ASCII.
 _LETTERS = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 
@@ -82,9 +86,33 @@ def among(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def key_hash(lang: str, key: bytes) -> int:
-    found = xxhash.xxh3_64_intdigest(lang.encode() + b"\0" + key)
-    return found - (1 << 64) if found >> 63 else found
+def _mixed(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    h = (h ^ words) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def key_hashes(lang: str, keys: pa.Array) -> np.ndarray:
+    """A hash (int64) of the language and each key (binary, no nulls): eight bytes at a time, all keys at once; long keys one by one."""
+    if not len(keys):
+        return np.empty(0, np.int64)
+    seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
+    ends = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64)
+    start, size = ends[:-1], np.diff(ends)
+    octets = np.zeros(int(ends[-1] - ends[0]) + 8, np.uint8)
+    if len(octets) > 8:
+        octets[:-8] = np.frombuffer(keys.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    start = start - ends[0]
+    h = _mixed(np.full(len(keys), seed), size.astype(np.uint64))
+    brief = size <= _BRIEF
+    for at in range(0, min(_BRIEF, int(size.max(initial=0))), 8):
+        rows = np.flatnonzero(brief & (size > at))
+        words = np.ascontiguousarray(octets[(start[rows] + at)[:, None] + np.arange(8)]).view("<u8")[:, 0]
+        # Bytes behind the key's end count as zeros.
+        beyond = 8 * (8 - np.minimum(size[rows] - at, 8)).astype(np.uint64)
+        h[rows] = _mixed(h[rows], words << beyond)
+    for k in np.flatnonzero(~brief).tolist():
+        h[k] = seed ^ np.uint64(xxhash.xxh3_64_intdigest(octets[start[k] : start[k] + size[k]].tobytes()))
+    return h.view(np.int64)
 
 
 # --- chunks of documents ----------------------------------------------------------------------
@@ -129,45 +157,63 @@ def _column(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
     return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
 
+def _ended_terms(batch: pa.RecordBatch, row: int) -> pa.Array:
+    """A chunk's terms, each with the end mark."""
+    return pc.binary_join_element_wise(batch.column("terms")[row].values, pa.scalar(_END), pa.scalar(b""))
+
+
+def _runs(keys: pa.Array) -> np.ndarray:
+    """Of sorted keys, the number of each one's run of equal keys."""
+    if len(keys) < 2:
+        return np.zeros(len(keys), np.int64)
+    differ = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+    return np.concatenate(([0], np.cumsum(differ)))
+
+
 def _counter(size: int, before: int, alive: np.ndarray | None):
     """Of each chunk: (lang, key, its hash, null, documents with it), and rows with the id instead for documents whose id repeats."""
 
+    def count_chunk(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
+        lang, terms = batch.column("lang")[row].as_py(), _ended_terms(batch, row)
+        on = pc.binary_length(terms).to_numpy(zero_copy_only=False) > before
+        if alive is not None:
+            places = np.flatnonzero(on)
+            parents = pc.binary_slice(terms.take(pa.array(places)), 0, before)
+            run = _runs(parents)
+            first = np.flatnonzero(np.diff(run, prepend=-1))
+            on[places] = among(key_hashes(lang, parents.take(pa.array(first))), alive)[run]
+        places = np.flatnonzero(on)
+        keys = pc.binary_slice(terms.take(pa.array(places)), 0, size)
+        # Terms are sorted, so equal prefixes are neighbours.
+        run = _runs(keys)
+        group = np.full(len(terms), -1, np.int32)
+        group[places] = run
+        heads = keys.take(pa.array(np.flatnonzero(np.diff(run, prepend=-1))))
+        codes, starts = _column(batch, "codes", row), _column(batch, "starts", row)
+        doc = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
+        g = group[codes]
+        doc, g = doc[g >= 0], g[g >= 0]
+        once = np.ones(len(g), bool)
+        once[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
+        doc, g = doc[once], g[once]
+        ids = batch.column("ids")[row].values
+        shared = ids.is_valid().to_numpy(zero_copy_only=False)[doc]
+        n = np.bincount(g[~shared], minlength=len(heads))
+        told = np.flatnonzero(n)
+        names = ids.take(pa.array(doc[shared])).to_pylist()
+        pairs = sorted(set(zip(names, g[shared].tolist(), strict=True)))
+        found = heads.take(pa.array(np.concatenate([told, np.array([k for _, k in pairs], np.int64)])))
+        return pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(lang, pa.string()), len(found)), found, pa.array(key_hashes(lang, found)),
+             pa.array([None] * len(told) + [i for i, _ in pairs], pa.string()),
+             pa.array(np.concatenate([n[told], np.ones(len(pairs), np.int64)]))],
+            ["lang", "key", "h", "id", "n"],
+        )
+
     def count(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                lang = batch.column("lang")[row].as_py()
-                terms = [t + _END for t in batch.column("terms")[row].as_py()]
-                on = np.array([len(t) > before for t in terms], bool)
-                if alive is not None:
-                    hashes = np.array([key_hash(lang, t[:before]) if o else 0 for t, o in zip(terms, on.tolist(), strict=True)], np.int64)
-                    on &= among(hashes, alive)
-                places = np.flatnonzero(on)
-                keys = [terms[k][:size] for k in places.tolist()]
-                # Terms are sorted, so equal prefixes are neighbours.
-                new = np.array([k == 0 or keys[k] != keys[k - 1] for k in range(len(keys))], bool)
-                group = np.full(len(terms), -1, np.int64)
-                group[places] = np.cumsum(new) - 1
-                heads = [keys[k] for k in np.flatnonzero(new).tolist()]
-                codes, starts = _column(batch, "codes", row), _column(batch, "starts", row)
-                doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-                g = group[codes] if len(codes) else codes.astype(np.int64)
-                doc, g = doc[g >= 0], g[g >= 0]
-                once = np.ones(len(g), bool)
-                once[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
-                doc, g = doc[once], g[once]
-                ids = batch.column("ids")[row].as_py()
-                shared = np.array([i is not None for i in ids], bool)[doc]
-                n = np.bincount(g[~shared], minlength=len(heads))
-                told = np.flatnonzero(n).tolist()
-                pairs = sorted({(ids[d], k) for d, k in zip(doc[shared].tolist(), g[shared].tolist(), strict=True)})
-                found = [heads[k] for k in told] + [heads[k] for _, k in pairs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary()),
-                     pa.array([key_hash(lang, k) for k in found], pa.int64()),
-                     pa.array([None] * len(told) + [i for i, _ in pairs], pa.string()),
-                     pa.array(n[told].tolist() + [1] * len(pairs), pa.int64())],
-                    ["lang", "key", "h", "id", "n"],
-                )
+                yield count_chunk(batch, row)
 
     return count
 
@@ -175,26 +221,35 @@ def _counter(size: int, before: int, alive: np.ndarray | None):
 def _occurrences(kept: np.ndarray):
     """Of each chunk: (lang, source, key, occurrences) for terms in the bitmap."""
 
+    def count_chunk(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
+        lang, terms = batch.column("lang")[row].as_py(), _ended_terms(batch, row)
+        on = among(key_hashes(lang, terms), kept)
+        codes, starts = _column(batch, "codes", row), _column(batch, "starts", row)
+        names = batch.column("sources")[row].values.dictionary_encode()
+        source = np.repeat(names.indices.to_numpy().astype(np.int64), np.diff(starts))
+        some = on[codes]
+        # Terms that are kept are numbered anew.
+        width, new = max(1, int(on.sum())), np.cumsum(on) - 1
+        key, n = source[some] * width + new[codes[some]], _column(batch, "counts", row)[some]
+        if len(names.dictionary) * width <= 4 * len(key):
+            # Sums of whole numbers, far below the bound of doubles.
+            sums = np.bincount(key, weights=n).astype(np.int64)
+            at = np.flatnonzero(sums)
+            sums = sums[at]
+        else:
+            at, where = np.unique(key, return_inverse=True)
+            sums = np.bincount(where, weights=n, minlength=len(at)).astype(np.int64)
+        held = terms.take(pa.array(np.flatnonzero(on)))
+        return pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(lang, pa.string()), len(at)), names.dictionary.take(pa.array(at // width)),
+             held.take(pa.array(at % width)), pa.array(sums)],
+            ["lang", "source", "key", "n"],
+        )
+
     def count(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                lang = batch.column("lang")[row].as_py()
-                terms = [t + _END for t in batch.column("terms")[row].as_py()]
-                on = among(np.array([key_hash(lang, t) for t in terms], np.int64), kept)
-                codes, starts = _column(batch, "codes", row), _column(batch, "starts", row)
-                names = batch.column("sources")[row].as_py()
-                number = {s: k for k, s in enumerate(dict.fromkeys(names))}
-                source = np.repeat(np.array([number[s] for s in names], np.int64), np.diff(starts))
-                some = on[codes] if len(codes) else np.zeros(0, bool)
-                key = source[some] * len(terms) + codes[some]
-                at, where = np.unique(key, return_inverse=True)
-                n = np.bincount(where, weights=_column(batch, "counts", row)[some], minlength=len(at)).astype(np.int64)
-                labels = list(number)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array([labels[k] for k in (at // max(1, len(terms))).tolist()], pa.string()),
-                     pa.array([terms[k] for k in (at % max(1, len(terms))).tolist()], pa.binary()), pa.array(n, pa.int64())],
-                    ["lang", "source", "key", "n"],
-                )
+                yield count_chunk(batch, row)
 
     return count
 
@@ -211,7 +266,7 @@ def chunks_of(docs: DataFrame, stages: Stages, how: Divergence) -> DataFrame:
     n = several.count()
     repeated = bitmap(several, F.col("h"), n, how.bits) if n else np.zeros(_BUCKET // 8, np.uint8)
     rows = rows.select("lang", "source", "id", "text", F.when(F.col("id").isNull(), F.lit(0)).otherwise(F.col("h")).alias("h"))
-    return stages.keep(rows.mapInArrow(_chunker(repeated, how.chunk), _CHUNK_SQL))
+    return stages.keep(rows.mapInArrow(_chunker(repeated, how.chunk), _CHUNK_SQL), **_FEW_A_GROUP)
 
 
 def frequent_terms(chunks: DataFrame, stages: Stages, how: Divergence) -> DataFrame:

@@ -1,9 +1,11 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +107,27 @@ def test_bitmap_lets_all_of_its_hashes_through(spark):
     hashes = np.array([r.h for r in rows.collect()], np.int64)
     assert sd.among(hashes, bits).all()
     assert sd.among(np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 20_000), bits).mean() < 0.1
+
+
+def test_row_groups_of_chunks_stay_small(spark):
+    # Eight batches of one task, whose words are all different.
+    rows = spark.range(40_000, numPartitions=1).select(
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.translate(F.hex(F.xxhash64("id", k)), "0123456789", "GHIJKLMNOP"))).alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source"), F.col("id").cast("string").alias("id"),
+    )
+    stages = Stages(spark)
+    sd.chunks_of(rows, stages, sd.Divergence())
+    folder = stages._paths[-1]
+    files = [pq.ParquetFile(f) for f in Path(folder).glob("*.parquet")]
+    groups = [f.metadata.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+    assert sum(groups) > 3 and max(groups) <= 2
+
+
+def test_hashes_of_keys():
+    keys = [b"", b"a", b"a\0", b"abcdefgh", b"abcdefgh\0", b"x" * 64, b"x" * 65, b"y" * 500, b"a"]
+    got = sd.key_hashes("en", pa.array([b"skip", *keys], pa.binary())[1:])
+    assert got[1] == got[-1] and len(set(got.tolist())) == len(keys) - 1
+    # A key's hash does not depend on the others.
+    assert [sd.key_hashes("en", pa.array([k], pa.binary()))[0] for k in keys] == got.tolist()
+    assert (sd.key_hashes("de", pa.array(keys, pa.binary())) != got).all()
+    assert len(sd.key_hashes("en", pa.array([], pa.binary()))) == 0
