@@ -206,12 +206,13 @@ def _linked(distance: int):
 @dataclass(frozen=True)
 class VantageTree:
     """Bounds: ``sample`` fingerprints are collected to build the tree (about that many, chosen by hash); a shard aims at
-    ``leaf_rows`` and is split into a grid beyond ``block_rows``; a fingerprint goes to about ``most_copies`` shards."""
+    ``leaf_rows`` and is split into a grid beyond ``block_rows``; a branch is not cut once its
+    fingerprints go to ``most_copies`` shards, so that rows grow with the input, not with the depth of the tree."""
 
     sample: int = 1 << 14
     leaf_rows: int = 1 << 12
     block_rows: int = 1 << 21
-    most_copies: float = 8.0
+    most_copies: float = 3.0
 
 
 def simhash_classes(

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -86,3 +87,14 @@ def test_search_misses_nothing():
     sv.search(fps, everyone, everyone, 2, lambda i, j: pairs.update(zip(i.tolist(), j.tolist(), strict=True)))
     d = np.bitwise_count(fps[:, None] ^ fps[None, :])
     assert pairs == set(zip(*(x.tolist() for x in np.nonzero(d <= 2)), strict=True))
+
+
+def test_rows_dealt_grow_with_the_input():
+    rng, bounds, copies = np.random.default_rng(2), sv.VantageTree(), []
+    for n in (50_000, 400_000):
+        fps = rng.integers(-(1 << 63), (1 << 63) - 1, n)
+        taken = fps[: bounds.sample].view(np.uint64)
+        top = sv.tree(taken, n / len(taken), 4, bounds.leaf_rows, bounds.block_rows, bounds.most_copies)
+        rows = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(fps)], ["rep", "fp"])
+        copies.append(sum(len(b) for b in sv._dealt(top, 4)(iter([rows]))) / n)
+    assert copies[1] < 1.3 * copies[0] and max(copies) < 6
