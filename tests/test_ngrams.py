@@ -150,3 +150,11 @@ def test_column_visits(spark):
 def test_distinct_values(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",)], "v string")
     assert [r[0] for r in ng.distinct_values(df, "v").collect()] == ["a", "b"]
+
+
+def test_frequent_ngrams_are_found_by_hashes(spark):
+    keys = ["corpus_id", "col0"]
+    rows = spark.createDataFrame([("a", "x")] * 5 + [("b", "x")] * 3 + [("a", "y")] * 2, "corpus_id string, col0 string")
+    hot = ng.hot_ngrams(rows, keys, 2)
+    assert sorted(map(tuple, hot.collect())) == [("a", "x", 5), ("b", "x", 3)]
+    assert "Exchange hashpartitioning(__h" in hot._jdf.queryExecution().executedPlan().toString()
