@@ -15,10 +15,16 @@ FEATURE_TEXT = r"^[a-zA-Z0-9]+=[a-zA-Z0-9]+(\|[a-zA-Z0-9]+=[a-zA-Z0-9]+)*$"
 NUMBER_LIKE = r"([-+])?[0-9]+(/[0-9]*)?"
 
 
-def raw_counts(tokens: DataFrame, attrs: Sequence[str], feats: str, line: str | None = None) -> DataFrame:
-    """``attrs.., feats, cnt`` (, ``last_line``) by raw values: a frequent combination reaches the shuffle as one row per task."""
+def raw_counts(
+    tokens: DataFrame, attrs: Sequence[str], feats: str, line: str | None = None, times: str | None = None
+) -> DataFrame:
+    """``attrs.., feats, cnt`` (, ``last_line``) by raw values: a frequent combination reaches the shuffle as one row per task.
+
+    ``times`` names how often a row occurs, if rows have been counted.
+    """
     last = [F.max(line).alias("last_line")] if line else []
-    return tokens.groupBy(*attrs, feats).agg(F.count("*").alias("cnt"), *last)
+    count = F.coalesce(F.sum(times), F.lit(0)) if times else F.count("*")
+    return tokens.groupBy(*attrs, feats).agg(count.alias("cnt"), *last)
 
 
 def parsed_counts(
@@ -40,13 +46,14 @@ def count_combinations(
     feats: str,
     line: str | None = None,
     keep_featless: bool = False,
+    times: str | None = None,
 ) -> DataFrame:
     """``attrs.., feats, feats_key, cnt`` (, ``last_line``): one row per combination.
 
     A token with several feature sets counts once for each; one whose features do not parse counts only with
     ``keep_featless``, as one without features.
     """
-    return parsed_counts(raw_counts(tokens, attrs, feats, line), attrs, feats, line, keep_featless)
+    return parsed_counts(raw_counts(tokens, attrs, feats, line, times), attrs, feats, line, keep_featless)
 
 
 def looks_valid(attrs: Sequence[str], strict_numeric: bool = False) -> Column:
