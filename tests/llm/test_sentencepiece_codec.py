@@ -87,6 +87,12 @@ def test_columns(spark):
     assert sp.encode_documents(df.limit(0), codec).collect() == []
 
 
+def test_every_text_is_verified(spark):
+    rows = [(k, t) for k, t in enumerate(texts())] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.parity for r in sp.encode_documents(docs, sp.Codec.load(PATH)).collect()] == [True] * len(rows)
+
+
 def test_words_are_kept_within_bounds():
     model = sp.PieceModel.read(pathlib.Path(PATH).read_bytes())
     words = sp.WordEncoder(model, sp.build(model), most=40, most_ids=300)
